@@ -1,0 +1,33 @@
+"""Size checks that decide between a broadcast and a shuffle."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+SMALL_ROWS = 10_000
+SMALL_INPUT_BYTES = 32 * 1024 * 1024
+
+
+def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """Fetch at most ``max_rows`` + 1 rows of a lookup table.
+
+    When the table fits it comes back as a local, broadcast-hinted relation and
+    True; otherwise the input comes back untouched with False, and a join with
+    it is a shuffle join whose skewed partitions AQE splits.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df, False
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+
+
+def small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> bool:
+    """Whether the optimizer's own size estimate of ``df`` is under a bound.
+
+    The estimate comes from file sizes, so nothing is read. Unknown counts as big.
+    """
+    try:
+        estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(estimate.toString()) <= max_bytes
+    except AttributeError:
+        return False
