@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 from brinemark.fixed_values import COASTS, MONTH_NAMES, SEA_STATES, UNKNOWN_SEA_STATE
 
 
+WHITESPACE = " \t\n\r\f\v"
+
+
 def literal_map(mapping: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
 
@@ -17,7 +20,7 @@ def tokens(line: Column, reference_trim: bool = False) -> Column:
     All leading and trailing whitespace is dropped first; ``reference_trim``
     drops spaces only, so that a leading tab yields an empty first token.
     """
-    clean = F.trim(line) if reference_trim else F.regexp_replace(line, r"^\s+|\s+$", "")
+    clean = F.trim(line) if reference_trim else F.trim(line, F.lit(WHITESPACE))
     return F.split(clean, r"\s+")
 
 

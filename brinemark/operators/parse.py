@@ -1,4 +1,9 @@
-"""Raw lines to typed measures, in one pass over the lines."""
+"""Raw lines to typed measures, in one pass over the lines.
+
+Later filters on parsed values would be pushed under the projections and parse
+every line again for each use of a value. Two one-row generators stop that: what
+lies under them is evaluated once per line.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,9 @@ from brinemark.functions import text, waves
 
 
 def tokenize(df: DataFrame, line: str = "data", reference_trim: bool = False) -> DataFrame:
-    return df.withColumn("tokens", text.tokens(F.col(line), reference_trim))
+    """Append ``tokens``, split once per line."""
+    once = F.explode(F.array(text.tokens(F.col(line), reference_trim)))
+    return df.select("*", once.alias("tokens"))
 
 
 def with_struct_check(df: DataFrame, allowed=fv.LINE_WIDTHS) -> DataFrame:
@@ -60,13 +67,14 @@ def decode(df: DataFrame, dp: int = 4, steepness: bool = False) -> DataFrame:
     if steepness:
         measures["wave_steepness"] = waves.wave_steepness(height, period)
     stamp = waves.observed_at(F.col("year"), F.col("_month"), F.col("_day"), F.col("_hour"))
+    decoded = F.struct(
+        stamp.alias("datetime"), *[waves.measure(column, dp).alias(name) for name, column in measures.items()])
     return parts.select(
         *df.columns,
         row_key("source_file", "data").alias("id"),
         "coast_name",
-        stamp.alias("datetime"),
         "year",
-        *[waves.measure(column, dp).alias(name) for name, column in measures.items()],
+        F.inline(F.array(decoded)),
     )
 
 
