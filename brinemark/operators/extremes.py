@@ -269,13 +269,11 @@ def band_periods(
 ) -> DataFrame:
     """Median wave period of the extreme rows per power band, and over all rows
     (band NULL). Bands pool all keys."""
-    banded = profile.select(
-        waves.band(F.col(power).cast("double"), edges, labels).alias("band"), F.col(period).alias("_t"))
-    per_band = exact_quantiles(
-        banded.where(F.col("band").isNotNull()), ["band"], "_t", {"median_period": 0.5}, method=method)
-    overall = exact_quantiles(profile.select(F.col(period).alias("_t")), [], "_t", {"median_period": 0.5}, method=method)
-    return per_band.select("band", "median_period").unionByName(
-        overall.select(F.lit(None).cast("string").alias("band"), "median_period"))
+    band = waves.band(F.col(power).cast("double"), edges, labels)
+    # Each row counts in its band and overall (NULL); a row without a band once.
+    both = F.explode(F.array_distinct(F.array(band, F.lit(None).cast("string"))))
+    banded = profile.select(both.alias("band"), F.col(period).alias("_t"))
+    return exact_quantiles(banded, ["band"], "_t", {"median_period": 0.5}, method=method)
 
 
 def assoc_period(df: DataFrame, power: str, periods: DataFrame, edges=fv.POWER_EDGES, labels=fv.POWER_LABELS,

@@ -70,7 +70,7 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
         "_k", "_n", F.when(F.col("_n") > SKETCH_ACCURACY, F.col("_cuts")).alias("_cuts"),
         *[c for c in sketch.columns if c not in ("_k", "_n", "_cuts")],
     )
-    steer, is_local = checked_small(steer)
+    steer, _ = checked_small(steer)
     spec = list(enumerate(quantiles.values()))
 
     def low(i):
@@ -82,13 +82,15 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
     def inside(i, x):
         return F.col("_cuts").isNull() | ((x >= low(i)) & (x <= high(i)))
 
-    present = rows.where(F.col("_v").isNotNull()).select("_k", "_v")
-    if not keys:
-        only = steer.collect()[0]
-        cuts = F.lit(None) if only["_cuts"] is None else F.array(*[F.lit(c) for c in only["_cuts"]])
-        tagged = present.withColumn("_n", F.lit(only["_n"])).withColumn("_cuts", cuts.cast("array<double>"))
-    else:
-        tagged = present.join(steer.select("_k", "_n", "_cuts"), "_k")
+    only = None if keys else steer.first()
+
+    def steered(part):
+        """Attach each group's count and cuts."""
+        if keys:
+            return part.join(steer.select("_k", "_n", "_cuts"), "_k")
+        cuts = F.array(*[F.lit(c) for c in only["_cuts"]]) if only["_cuts"] is not None else F.lit(None)
+        return part.withColumn("_n", F.lit(only["_n"])).withColumn("_cuts", cuts.cast("array<double>"))
+
     kept = F.lit(False)
     for i, _ in spec:
         kept = kept | inside(i, F.col("_v"))
@@ -96,9 +98,10 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
         F.sum(F.when(F.col("_cuts").isNotNull() & (F.col("_v") < low(i)), 1).otherwise(0)).alias(f"_b{i}")
         for i, _ in spec
     ]
+    present = steered(rows.where(F.col("_v").isNotNull()).select("_k", "_v"))
     reduced = (
-        tagged.withColumn("_c", F.when(kept, F.col("_v")))
-        .groupBy("_k", "_n", "_cuts", "_c")
+        present.withColumn("_c", F.when(kept, F.col("_v")))
+        .groupBy("_k", "_c")
         .agg(F.count(F.lit(1)).alias("_m"), *below)
     )
 
@@ -115,7 +118,7 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
             F.when(held, F.col("_m")).otherwise(F.col(f"_b{i}")).alias("_w"),
         )
 
-    points = reduced.select("_k", "_n", F.inline(F.array(*[entry(i) for i, _ in spec]))).where("_w > 0")
+    points = steered(reduced).select("_k", "_n", F.inline(F.array(*[entry(i) for i, _ in spec]))).where("_w > 0")
     slots = points.groupBy("_k", "_i", "_slot").agg(F.sum("_w").alias("_w"))
     before = W.partitionBy("_k", "_i").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     slots = slots.select("_k", "_i", "_slot", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_start"))

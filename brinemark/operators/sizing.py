@@ -15,8 +15,8 @@ def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame,
     True; otherwise the input comes back untouched with False, and a join with
     it is a shuffle join whose skewed partitions AQE splits.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df, False
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
 
@@ -28,6 +28,6 @@ def small_input(df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> bool:
     """
     try:
         estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(estimate.toString()) <= max_bytes
+        return int(str(estimate)) <= max_bytes
     except AttributeError:
         return False

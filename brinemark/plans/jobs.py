@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from brinemark import fixed_values as fv
 from brinemark.operators import daily as daily_ops, describe, extremes, forecast as forecast_ops
 from brinemark.operators import metrics as metric_ops, payload as payload_ops, quality, sampling, seastate, share
+from brinemark.operators.sizing import small_input
 from brinemark.session import cut_lineage
 from brinemark.sources import schemas, tables
 from brinemark.streaming.runs import classify, ingest, refine
@@ -76,12 +77,15 @@ def forecast_rows(
     The series is scanned three times (threshold, peaks, band medians), each time
     for a few columns; what follows works on peaks, which are written once.
     """
-    thresholds, peaks = extremes.storm_peaks(observed, key, ts, power, gap_hours, q)
+    # Everything below is a part of these columns, so their size bounds it.
+    quantile_method = "hash" if small_input(observed.select(key, ts, power, period)) else "bracket"
+    thresholds, peaks = extremes.storm_peaks(observed, key, ts, power, gap_hours, q, quantile_method)
     excesses = cut_lineage(extremes.ranked_excesses(peaks, thresholds, key))
     levels, failures = extremes.forecast_levels(
         excesses, thresholds, key, return_periods, resamples, seed=seed, method=method)
     profile = extremes.extreme_profile(observed, thresholds, key, power, [*attributes, period])
-    heights = extremes.design_heights(levels, extremes.band_periods(profile, power, period))
+    periods = extremes.band_periods(profile, power, period, method=quantile_method)
+    heights = extremes.design_heights(levels, periods)
     return forecast_ops.tidy_forecast(heights, key), failures
 
 
