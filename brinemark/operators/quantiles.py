@@ -60,11 +60,13 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.withColumn("_k", group).withColumn("_v", v)
     probes = [p for q in quantiles.values() for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
-    sketch = rows.groupBy("_k").agg(
+    sketch = rows.groupBy(*(["_k"] if keys else [])).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", probes, SKETCH_ACCURACY).alias("_cuts"),
         *extra,
     )
+    if not keys:
+        sketch = sketch.withColumn("_k", group)
     # Small groups keep all their rows: the margin would be under one rank.
     steer = sketch.select(
         "_k", "_n", F.when(F.col("_n") > SKETCH_ACCURACY, F.col("_cuts")).alias("_cuts"),
