@@ -35,9 +35,23 @@ def observed_at(year: Column, month: Column, day: Column, hour: Column) -> Colum
     return stamp.cast("timestamp")
 
 
+def round_half_up(value: Column, dp: int) -> Column:
+    """``round`` of a double, without its decimal arithmetic where that is safe.
+
+    Away from a tie and within the exact range of the product, the nearest
+    multiple is the same by either way; all other values take ``round``.
+    """
+    scale = 10.0 ** dp
+    shifted = value * scale
+    nearest = F.rint(shifted)
+    safe = (F.abs(shifted - nearest) < 0.499999) & (F.abs(shifted) < 4e9)
+    # Adding zero turns a negative zero into zero, as ``round`` gives it.
+    return F.when(safe, nearest / scale + F.lit(0.0)).otherwise(F.round(value, dp))
+
+
 def measure(value: Column, dp: int = 4) -> Column:
     """A measure at ``dp`` decimals (half up), narrowed to float."""
-    return F.round(value, dp).cast("float")
+    return round_half_up(value.cast("double"), dp).cast("float")
 
 
 def circular(degrees: Column) -> tuple[Column, Column]:

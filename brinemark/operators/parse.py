@@ -2,7 +2,8 @@
 
 Later filters on parsed values would be pushed under the projections and parse
 every line again for each use of a value. Two one-row generators stop that: what
-lies under them is evaluated once per line.
+lies under them is evaluated once per line. The steps between are kept small
+enough for the JVM to compile each generated method.
 """
 
 from __future__ import annotations
@@ -35,9 +36,8 @@ def decode(df: DataFrame, dp: int = 4, steepness: bool = False) -> DataFrame:
     def token(i):
         return F.get("tokens", F.lit(i))
 
-    parts = df.select(
+    numbers = df.select(
         "*",
-        text.coast_from_path(F.col("source_file")).alias("coast_name"),
         waves.whole(F.get("tokens", F.size("tokens") - 1)).alias("year"),
         waves.whole(token(fv.TOKEN_MONTH)).alias("_month"),
         waves.whole(token(fv.TOKEN_DAY)).alias("_day"),
@@ -67,15 +67,15 @@ def decode(df: DataFrame, dp: int = 4, steepness: bool = False) -> DataFrame:
     if steepness:
         measures["wave_steepness"] = waves.wave_steepness(height, period)
     stamp = waves.observed_at(F.col("year"), F.col("_month"), F.col("_day"), F.col("_hour"))
-    decoded = F.struct(
-        stamp.alias("datetime"), *[waves.measure(column, dp).alias(name) for name, column in measures.items()])
-    return parts.select(
-        *df.columns,
-        row_key("source_file", "data").alias("id"),
-        "coast_name",
-        "year",
-        F.inline(F.array(decoded)),
-    )
+    coast = text.coast_from_path(F.col("source_file"))
+    exact = numbers.select(
+        *df.columns, "year", coast.alias("coast_name"), stamp.alias("_stamp"),
+        *[column.alias(f"_{name}") for name, column in measures.items()])
+    narrowed = F.struct(
+        F.col("_stamp").alias("datetime"), *[waves.measure(F.col(f"_{name}"), dp).alias(name) for name in measures])
+    once = exact.select(*df.columns, "coast_name", "year", F.inline(F.array(narrowed)))
+    return once.select(
+        *df.columns, row_key("source_file", "data").alias("id"), "coast_name", "datetime", "year", *measures)
 
 
 def row_key(*cols: str):

@@ -134,9 +134,9 @@ ORACLE["parse_quality"] = f"""
 WITH {SERIES}
 SELECT coast_name, dt::TIMESTAMP AS datetime, year(l_shipdate)::INTEGER AS year,
   round(ws, 4)::FLOAT AS wind_speed_ms, round(wd, 4)::FLOAT AS wind_direction_deg,
-  round(cos(radians(wd)), 4)::FLOAT AS wind_cos_direction, round(sin(radians(wd)), 4)::FLOAT AS wind_sin_direction,
+  (round(cos(radians(wd)), 4) + 0.0::DOUBLE)::FLOAT AS wind_cos_direction, (round(sin(radians(wd)), 4) + 0.0::DOUBLE)::FLOAT AS wind_sin_direction,
   round(h, 4)::FLOAT AS wave_height_m, round(vd, 4)::FLOAT AS wave_direction_deg,
-  round(cos(radians(vd)), 4)::FLOAT AS wave_cos_direction, round(sin(radians(vd)), 4)::FLOAT AS wave_sin_direction,
+  (round(cos(radians(vd)), 4) + 0.0::DOUBLE)::FLOAT AS wave_cos_direction, (round(sin(radians(vd)), 4) + 0.0::DOUBLE)::FLOAT AS wave_sin_direction,
   round(t, 4)::FLOAT AS wave_period_s,
   round(0.125 * (9.81::DOUBLE * 1026) * h * h, 4)::FLOAT AS wave_energy,
   round(490 * h * h * t / 1000, 4)::FLOAT AS wave_power_kW_m

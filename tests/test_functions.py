@@ -88,3 +88,15 @@ def test_observed_at_rejects_impossible_dates(spark):
     df = spark.createDataFrame(parts, "y int, m int, d int, h int")
     got = [r[0] for r in df.select(waves.observed_at(*[F.col(c) for c in "ymdh"])).collect()]
     assert str(got[0]) == "1980-02-29 03:00:00" and got[1:] == [None] * 4
+
+
+def test_rounding_equals_round(spark):
+    values = [0.00005, 0.00015, 1.00005, -1.00005, 2.5, -0.00001, 0.0, 1e12 + 0.123456, -7.12345, float("nan"),
+              float("inf"), None, 0.12345, 0.123450001, 0.1234499999999, 123456.78905, 399999.99995]
+    df = spark.createDataFrame([(v,) for v in values], "v double").unionByName(
+        spark.range(20000).select(((F.col("id") - 10000) * 0.00005 + F.rand(1) * F.lit(1e-9)).alias("v"))).unionByName(
+        spark.range(20000).select(((F.col("id") - 10000) * 0.00005).alias("v")))
+    same = df.where(~waves.round_half_up(F.col("v"), 4).eqNullSafe(F.round("v", 4)))
+    assert same.count() == 0
+    # Zero is never negative.
+    assert many(spark, [-0.00001], lambda c: waves.measure(c).cast("string")) == ["0.0"]
