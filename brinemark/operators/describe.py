@@ -58,6 +58,11 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.select(F.inline(F.array(*cells)))
 
 
+def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
+    """First rows of a series in time order; each task keeps only ``n``."""
+    return df.orderBy(*order).limit(n)
+
+
 def month_mean_std(df: DataFrame, month: str, value: str) -> DataFrame:
     return df.groupBy(month).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 

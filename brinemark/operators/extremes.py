@@ -226,7 +226,7 @@ def bootstrap_draws(excesses: DataFrame, key: str, resamples: int, seed: int = 0
         counts.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples))))
         .repartition(tasks, key, "b")
         .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-        .withColumn("rank", hash_32(F.lit(seed), F.col(key), F.col("b"), F.col("_i")) % F.col("n") + 1)
+        .withColumn("rank", F.coalesce(hash_32(F.lit(seed), F.col(key), F.col("b"), F.col("_i")) % F.col("n"), F.lit(0)) + 1)
         .groupBy(key, "b", "n", "rank").agg(F.count(F.lit(1)).alias("w"))
     )
     values = excesses.select(key, "rank", "excess")

@@ -507,6 +507,8 @@ SELECT bin, {_round('bin_lo, bin_hi', 5)}, count,
   round(n * (exp(-exp(-(bin_hi - location) / scale)) - exp(-exp(-(bin_lo - location) / scale))), 5) AS expected
 FROM h, f"""
 
+ORACLE["preview"] = "SELECT event_id, ts, event_type, value FROM events ORDER BY ts, event_id LIMIT 10"
+
 ORACLE["month_mean_std"] = """
 SELECT month(l_shipdate)::INTEGER AS month, round(avg(l_extendedprice), 5) AS mean,
   round(stddev_samp(l_extendedprice), 5) AS std FROM lineitem GROUP BY 1"""
@@ -621,6 +623,8 @@ SELECT error_reason, false AS resolved, count(*) AS n FROM lines WHERE error_rea
 ORACLE["stream_daily"] = f"""
 WITH {DAILY.replace('FROM obs', f'FROM obs WHERE {_GOOD_KINDS}')} SELECT * FROM daily"""
 
+ORACLE["stream_daily_recompute"] = ORACLE["stream_daily"]
+
 ORACLE["observations_file"] = f"""
 WITH {SERIES}
 SELECT year(datetime)::INTEGER AS Anio, month(datetime)::INTEGER AS Mes, count(*) AS n, max(datetime) AS last,

@@ -294,6 +294,13 @@ def band_periods(spark, sf):
     return rounded(extremes.band_periods(profile, "wave_power_kW_m", "wave_period_s"), 6)
 
 
+@query
+def forecast_mle(spark, sf):
+    """The forecast by maximum likelihood; 50 resamples of every peak set."""
+    rows, _ = jobs.forecast_rows(observed(spark, sf), method="mle", resamples=50)
+    return rounded(rows, 5)
+
+
 @query
 def forecast_tidy(spark, sf):
     rows, _ = jobs.forecast_rows(observed(spark, sf))
@@ -370,6 +377,11 @@ def month_mean_std(spark, sf):
     return rounded(describe.month_mean_std(items, "month", "l_extendedprice"), 5)
 
 
+@query
+def preview(spark, sf):
+    return describe.preview(table(spark, sf, "events"), ["ts", "event_id"]).select("event_id", "ts", "event_type", "value")
+
+
 @query
 def wind_rose(spark, sf):
     return rounded(describe.direction_rose(observed(spark, sf), "wind_direction_deg", "wind_speed_ms", fv.WIND_EDGES), 8)
@@ -537,6 +549,15 @@ def stream_daily(spark, sf):
     return jobs.read_daily(spark, base).drop("year")
 
 
+@query
+def stream_daily_recompute(spark, sf):
+    """Every year rebuilt over a first run, folder by folder."""
+    base = streamed(spark, sf)
+    jobs.daily(spark, base)
+    jobs.daily(spark, base, late="recompute")
+    return jobs.read_daily(spark, base).drop("year")
+
+
 @query
 def stream_classify(spark, sf):
     """Refine, train, classify and share out, all through the job entry points."""
