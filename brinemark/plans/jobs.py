@@ -113,7 +113,7 @@ def train_rows(
     scored_train = seastate.apply_mixture(mixture, train.where(~extreme))
     order = {r["cluster"]: r["label"] for r in seastate.order_clusters(scored_train, extreme_features).collect()}
     gate = seastate.gmm_gate(seastate.apply_mixture(mixture, test.where(~extreme))).withColumn(
-        "label", sum_of_cases("cluster", order))
+        "label", mapped("cluster", order))
     if enforce_gates and not all(r["passed"] for r in gate.select("passed").collect()):
         return seastate.TrainingResult(None, gate, None, None, False)
     columns = [*ids, *features, "label"]
@@ -126,7 +126,8 @@ def train_rows(
     return seastate.TrainingResult(model if accepted else None, gate, figures, predicted, accepted)
 
 
-def sum_of_cases(column: str, mapping: dict[int, int]):
+def mapped(column: str, mapping: dict[int, int]):
+    """The column's values replaced by a small mapping; NULL for others."""
     chosen = F.lit(None).cast("int")
     for value, label in mapping.items():
         chosen = F.when(F.col(column) == value, F.lit(label)).otherwise(chosen)
