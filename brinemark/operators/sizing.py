@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 SMALL_ROWS = 10_000
-SMALL_INPUT_BYTES = 32 * 1024 * 1024
+SMALL_INPUT_BYTES = 16 * 1024 * 1024
 
 
 def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:

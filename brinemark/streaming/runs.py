@@ -64,9 +64,9 @@ def checkpoint_path(base: str, table: schemas.Table) -> str:
     return f"{base.rstrip('/')}/checkpoints/{table.layer}_{table.name}"
 
 
-def ingest(spark: SparkSession, landing: str, base: str) -> None:
-    """Landing text files to the table of lines."""
-    run_stream(read_lines_stream(spark, landing), with_provenance, schemas.BRONZE_LINES, base)
+def ingest(spark: SparkSession, landing: str, base: str, max_files: int | None = None) -> None:
+    """Landing text files to the table of lines; ``max_files`` bounds a batch."""
+    run_stream(read_lines_stream(spark, landing, max_files), with_provenance, schemas.BRONZE_LINES, base)
 
 
 def silver_rows(lines: DataFrame, rules=quality.RULES, reference_trim: bool = False) -> DataFrame:

@@ -56,6 +56,15 @@ def test_rerun_without_new_files_adds_nothing(spark, base):
     assert jobs.silver(spark, str(base)).count() == before
 
 
+def test_bounded_batches_ingest_everything_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for i in range(5):
+        write_lines(landing, f"tuxpan.{i}.txt", hour_lines(1980, 1 + i, [1]))
+    jobs.ingest(spark, str(landing), str(tmp_path), max_files=2)
+    lines = tables.read_table(spark, schemas.BRONZE_LINES.path(str(tmp_path)))
+    assert lines.count() == 20 and lines.select("source_file").distinct().count() == 5
+
+
 def test_late_rows(spark, tmp_path):
     landing = tmp_path / "landing"
     write_lines(landing, "tuxpan.txt", hour_lines(1980, 1, range(1, 4)) + hour_lines(1981, 1, [1]))
