@@ -75,3 +75,27 @@ SELECT s.doc_id, s.size, p.source_size, round(p.target, 6) AS target,
 FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.draw = e.draw
 """
+
+ORACLE["op8_decontaminate"] = r"""
+WITH item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS width, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS span
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM item_words WHERE len(w) > 0)),
+doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+widths AS (SELECT DISTINCT width FROM windows),
+spans AS (
+    SELECT doc_id, width, s, array_to_string(w[s:s + width - 1], ' ') AS span
+    FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS s FROM doc_words, widths WHERE len(w) >= width)),
+found AS (SELECT doc_id, s, width, item_id FROM spans JOIN windows USING (width, span)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + width)) AS p FROM found) GROUP BY doc_id),
+owners AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, mixing, token_counts, url_filter
+from brinemark.llm import chat_format, decontaminate, mixing, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,6 +44,17 @@ def op2_chat_format(spark, sf):
     return chat_format.digests(chat_format.format_chats(turns))
 
 
+@query
+def op7_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op8_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return decontaminate.summary(decontaminate.find_leaks(docs, table(spark, sf, "benchmark")))
+
+
 @query
 def op9_source_mix(spark, sf):
     mixed = mixing.mix_sources(table(spark, sf, "documents"))
