@@ -76,6 +76,42 @@ FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.draw = e.draw
 """
 
+# Words are joined by single spaces, so that each template is a regular expression.
+ORACLE["op4_license_scan"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+starts AS (
+    SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line,
+        list_filter(range(0, len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+        list_filter(range(0, len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+        list_filter(range(0, len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
+    FROM doc_words),
+patterns (label, pattern) AS (VALUES
+    ('apache-2.0', ' licensed under (the )?apache license (version )?2 0 '),
+    ('bsd', ' redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met '),
+    ('cc-by-4.0', ' licensed under (a )?(creative commons )?cc by 4 0 '),
+    ('cc-by-nc-4.0', ' licensed under (a )?(creative commons )?cc by nc 4 0 '),
+    ('gpl-2.0', ' licensed under the (gnu )?general public license (version )?2 '),
+    ('gpl-3.0', ' licensed under the (gnu )?general public license (version )?3 '),
+    ('gpl-later', ' under the terms of the (gnu )?general public license as published by the free software foundation either version ([^ ]+ ){1,2}of the license or at your option any later version '),
+    ('isc', ' permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted '),
+    ('mit-notice', ' released under (the terms of )?the mit license '),
+    ('mit-text', ' permission is hereby granted free of charge to any person obtaining a copy of ([^ ]+ ){1,8}and associated documentation files '),
+    ('mpl-2.0', ' subject to the terms of the mozilla public license (v )?(version )?2 0 ')),
+more AS (
+    SELECT doc_id, list(label) AS labels FROM starts JOIN patterns ON regexp_matches(line, pattern) GROUP BY doc_id),
+based AS (
+    SELECT *, list_concat(mit, apache, gpl) AS every,
+        list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END],
+            lambda x: x IS NOT NULL) AS base
+    FROM starts)
+SELECT b.doc_id, len(w)::BIGINT AS n_words, len(every)::BIGINT AS n_base, list_min(every) AS first_word, list_max(every) AS last_word,
+    array_to_string(base, ',') AS base_labels, array_to_string(list_sort(list_concat(base, coalesce(m.labels, []))), ',') AS labels,
+    CASE WHEN m.labels IS NOT NULL THEN 1.0 WHEN len(every) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM based b LEFT JOIN more m USING (doc_id)
+"""
+
 ORACLE["op8_decontaminate"] = r"""
 WITH item_words AS (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

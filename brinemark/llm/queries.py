@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, mixing, simhash, token_counts, url_filter
+from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, mixing, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,6 +44,17 @@ def op2_chat_format(spark, sf):
     return chat_format.digests(chat_format.format_chats(turns))
 
 
+@query
+def op4_license_scan(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return license_scan.summary(license_scan.scan_licenses(docs))
+
+
+@query
+def op5_fingerprints(spark, sf):
+    return fingerprints.fingerprint_edits(table(spark, sf, "documents"))
+
+
 @query
 def op7_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
