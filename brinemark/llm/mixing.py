@@ -100,6 +100,7 @@ def mix_sources(
     ends = ends.join(t, ends["s"].eqNullSafe(t["t_s"])).where(
         (F.col("before") < F.col("rest")) & (F.col("before") + F.col("size") >= F.col("rest"))
     ).select(F.col("s").alias("e_s"), F.col("slot").alias("e_slot"), "before", "rest")
+    ends = stored(ends, "mix-ends")
     at_end = docs.select(quoted(source).alias("s"), key.alias("key"), quoted(text).alias("text"))
     at_end = at_end.join(ends, at_end["s"].eqNullSafe(ends["e_s"]) & (slot(at_end["key"]) == ends["e_slot"]))
     at_end = at_end.groupBy("s", "key", "e_slot", "before", "rest").agg(F.sum(word_count(F.col("text"))).alias("size"))
