@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, mixing, simhash, token_counts, url_filter
+from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -55,6 +55,13 @@ def op5_fingerprints(spark, sf):
     return fingerprints.fingerprint_edits(table(spark, sf, "documents"))
 
 
+@query
+def op6_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lost", F.char_length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op7_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
