@@ -298,7 +298,7 @@ def summary(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"))
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that hold a window of the benchmark."""
-    found = find_leaks(docs, benchmark, **options)
-    return found.where(F.size("items") == 0).select(*[quoted(c) for c in without(docs, OUTPUT)])
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without those that hold a window of the benchmark; all their columns stay."""
+    packed = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc_"), quoted(text).alias("text_"))
+    return find_leaks(packed, benchmark, text="text_", **options).where(F.size("items") == 0).select("doc_.*")

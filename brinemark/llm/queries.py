@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, url_filter
+from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,6 +44,13 @@ def op2_chat_format(spark, sf):
     return chat_format.digests(chat_format.format_chats(turns))
 
 
+@query
+def op3_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_license_scan(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brinemark.llm.columns import quoted, stored, without
+from brinemark.llm.columns import quoted, stored
 from brinemark.llm.components import connected_components
 
 BITS, SEED = 64, 42
@@ -172,12 +172,21 @@ def near_duplicates(
 def keep_one(docs: DataFrame, radius: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: that of the smallest doc_id.
 
-    Several rows with that doc_id all stay if they are of one component; rows with a
-    NULL doc_id stay only in components of NULLs.
+    Rows that share that doc_id and are of its component all stay, equal or not;
+    rows with a NULL doc_id stay only in components of NULLs.
     """
-    verdicts = near_duplicates(docs, radius, doc_id, text)
-    lost = verdicts.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("l_id"), F.col("fp").alias("l_fp")).distinct()
-    lost = stored(lost, "simhash-lost")
-    ids = lost.select("l_id").distinct()
-    return docs.join(ids, quoted(doc_id).eqNullSafe(ids["l_id"]), "left_anti").select(*[quoted(c) for c in without(docs, ())])
+    verdicts = near_duplicates(docs, radius, doc_id, text).select(
+        F.col("doc_id").alias("l_id"), F.col("fp").alias("l_fp"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    ids = stored(verdicts.groupBy("l_id").agg(
+        F.bool_or("stays").alias("some"), F.bool_and("stays").alias("all")).where(~F.col("all")), "simhash-lost")
+    kept = docs.join(ids, quoted(doc_id).eqNullSafe(ids["l_id"]), "left_anti")
+    # A doc_id may be on several rows with different verdicts: those go by their fingerprints.
+    mixed = ids.where("some").select("l_id")
+    if mixed.isEmpty():
+        return kept
+    lost = stored(verdicts.where(~F.col("stays")).join(mixed, verdicts["l_id"].eqNullSafe(mixed["l_id"]), "left_semi").select(
+        "l_id", "l_fp").distinct(), "simhash-lost-rows")
+    packed = docs.join(mixed, quoted(doc_id).eqNullSafe(mixed["l_id"]), "left_semi").select(
+        F.struct(*[quoted(c) for c in docs.columns]).alias("doc_"), quoted(doc_id).alias("id_"), simhash(quoted(text)).alias("fp_"))
+    rest = packed.join(lost, packed["id_"].eqNullSafe(lost["l_id"]) & (packed["fp_"] == lost["l_fp"]), "left_anti")
+    return kept.union(rest.select("doc_.*"))
