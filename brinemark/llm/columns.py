@@ -26,6 +26,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def packed(df: DataFrame, but: Iterable[str] = ()) -> Column:
+    """The columns of ``df`` other than ``but`` as one struct ``row_``, safe from clashes with an operator's own."""
+    return F.struct(*[quoted(c) for c in without(df, but)]).alias("row_")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from brinemark.llm.columns import quoted, stored, without
+from brinemark.llm.columns import packed, quoted, stored
 
 # Separators become a space, A-Z become a-z; bytes from 0x80 belong to words.
 WORD_TABLE = bytes(
@@ -275,18 +275,17 @@ def find_leaks(
     of several blocks takes one pass over the documents each, stored between.
     Texts are scanned where they are and never shuffled.
     """
-    kept = without(docs, OUTPUT)
-    rows, done = docs.select(*[quoted(c) for c in kept]), False
+    rows, done = docs.select(packed(docs, OUTPUT), quoted(text).alias("text_")), False
     for block in blocks_of(benchmark, item_id, item_text, block_bytes):
         scan = _scanner(docs.sparkSession, block, window, k, done)
         if done:
             rows = stored(rows, "leaks")
-            found = scan(quoted(text), F.col("hit_starts"), F.col("hit_ends"), F.col("items"))
+            found = scan(F.col("text_"), F.col("hit_starts"), F.col("hit_ends"), F.col("items"))
         else:
-            found = scan(quoted(text))
-        rows = rows.select(*[quoted(c) for c in kept], found.alias("found_")).select(*[quoted(c) for c in kept], "found_.*")
+            found = scan(F.col("text_"))
+        rows = rows.select("row_", "text_", found.alias("found_")).select("row_", "text_", "found_.*")
         done = True
-    return rows
+    return rows.select("row_.*", *OUTPUT)
 
 
 def summary(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -300,5 +299,5 @@ def summary(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold a window of the benchmark; all their columns stay."""
-    packed = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc_"), quoted(text).alias("text_"))
-    return find_leaks(packed, benchmark, text="text_", **options).where(F.size("items") == 0).select("doc_.*")
+    rows = docs.select(packed(docs).alias("doc_"), quoted(text).alias("text_"))
+    return find_leaks(rows, benchmark, text="text_", **options).where(F.size("items") == 0).select("doc_.*")

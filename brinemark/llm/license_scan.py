@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brinemark.llm.columns import quoted, without
+from brinemark.llm.columns import packed, quoted
 from brinemark.llm.decontaminate import WORD_TABLE
 
 OUTPUT = ("n_words", "places", "base_labels", "labels", "score")
@@ -177,13 +177,12 @@ def scan_licenses(
     scanned where they are, without a shuffle; work is linear in a text's words.
     """
     templates, base = TEMPLATES if templates is None else templates, BASE if base is None else base
-    kept = without(docs, OUTPUT)
-    rows = docs.select(*[quoted(c) for c in kept], find_places(quoted(text), templates, base).alias("found_"))
+    rows = docs.select(packed(docs, OUTPUT), find_places(quoted(text), templates, base).alias("found_"))
     found = F.col("found_.places")
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(F.transform(a, lambda p: p["label"]))), ",")
     score = F.when(F.exists(found, lambda p: ~p["base"]), 1.0).when(F.size(found) > 0, 0.5).otherwise(0.0)
     return rows.select(
-        *[quoted(c) for c in kept], F.col("found_.n_words").alias("n_words"), found.alias("places"),
+        "row_.*", F.col("found_.n_words").alias("n_words"), found.alias("places"),
         joined(F.filter(found, lambda p: p["base"])).alias("base_labels"), joined(found).alias("labels"), score.alias("score"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from brinemark.llm.columns import quoted, stored, without
+from brinemark.llm.columns import packed, quoted, stored
 
 SLOT_HEX = 3
 OUTPUT = ("size", "source_size", "target", "repeats", "taken")
@@ -112,10 +112,9 @@ def mix_sources(
     plan = stored(targets.join(last, targets["s"].eqNullSafe(last["l_s"]), "left").select(
         F.col("s").alias("p_s"), "source_size", "target", "whole", F.coalesce("last", F.lit("")).alias("last")), "mix-plan")
 
-    kept = without(docs, OUTPUT)
-    rows = docs.select(*[quoted(c) for c in kept], word_count(quoted(text)).alias("size"), key.alias("draw_"))
-    joined = rows.join(plan, quoted(source).eqNullSafe(plan["p_s"]), "left")
-    repeats = (F.col("whole") + (F.col("draw_") <= F.col("last")).cast("long")).cast("long")
+    rows = docs.select(packed(docs, OUTPUT), quoted(source).alias("s"), word_count(quoted(text)).alias("size"), key.alias("key"))
+    joined = rows.join(plan, rows["s"].eqNullSafe(plan["p_s"]), "left")
+    repeats = (F.col("whole") + (F.col("key") <= F.col("last")).cast("long")).cast("long")
     return joined.select(
-        *[quoted(c) for c in kept], "size", "source_size", "target", repeats.alias("repeats"),
+        "row_.*", "size", "source_size", "target", repeats.alias("repeats"),
         (F.col("size") * repeats).alias("taken"))

@@ -23,7 +23,7 @@ from brinemark.llm.columns import quoted, without
 ROWS, WIDTH = 1 << 18, 4
 GRAMS = (3, 5)
 MAX_WORD = 40
-EPOCHS, RATE, SEED, BATCH = 25, 4.0, 7, 32
+STEPS, RATE, SEED, BATCH = 3000, 4.0, 7, 32
 # Rows of fewer training texts stay out; every mean has so many empty subwords more.
 LEAST_TEXTS, LEAST_SHARE, EMPTY = 3, 0.004, 200
 SCALE, STEEP = 100.0, 4.0
@@ -94,7 +94,7 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(starts), np.concatenate(indexes), np.concatenate(shares)
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
+def train(texts: list[str | None], labels: list[int], steps: int = STEPS, rate: float = RATE, seed: int = SEED) -> Model:
     """Vectors and softmax by stochastic gradient descent, classes weighed alike.
 
     Labels of one class only, or none, give a model that says what share of them is 1.
@@ -116,9 +116,9 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate
     softmax, bias = generator.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
     weigh = np.where(y == 1, len(y) / (2 * ones), len(y) / (2 * (len(y) - ones))).astype(np.float32)
     batches, done = -(-len(y) // BATCH), 0
-    for _ in range(epochs):
+    while done < steps:
         order = generator.permutation(len(y))
-        for part in np.array_split(order, batches):
+        for part in np.array_split(order, batches)[:steps - done]:
             sizes = starts[part + 1] - starts[part]
             owner = np.repeat(np.arange(len(part)), sizes)
             at = np.repeat(starts[part] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
@@ -129,7 +129,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(part)), y[part]] -= 1
             p *= weigh[part][:, None] / len(part)
-            now = np.float32(rate * (1 - done / (epochs * batches)))
+            now = np.float32(rate * (1 - done / steps))
             # A text's step is bounded whatever its length, so that training cannot diverge.
             back = p @ softmax.T / np.maximum(1, np.bincount(owner, shares * shares, len(part)) / STEEP)[:, None].astype(np.float32)
             softmax = np.clip(softmax - now * np.float32(0.1) * (mean.T @ p), -1, 1)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brinemark.llm.columns import ascii_lower, quoted, without
+from brinemark.llm.columns import ascii_lower, packed, quoted
 
 PREFIX_HEX = 8
 OUTPUT = ("host", "path", "rule", "verdict")
@@ -74,8 +74,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     keyed = known.withColumn("r_digest", _digest(F.concat("r_host", folder_of(F.col("r_path")))))
     keyed = keyed.withColumn("r_prefix", F.substring("r_digest", 1, PREFIX_HEX))
 
-    kept = without(pages, OUTPUT)
-    rows = pages.select(*[quoted(c) for c in kept], host_of(quoted(url)).alias("host"), path_of(quoted(url)).alias("path"))
+    rows = pages.select(packed(pages, OUTPUT), host_of(quoted(url)).alias("host"), path_of(quoted(url)).alias("path"))
     judged = pages.select(host_of(quoted(url)).alias("t_host"), path_of(quoted(url)).alias("t_path")).distinct()
     tried = judged.select(
         "t_host", "t_path",
@@ -88,5 +87,5 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         F.char_length(rule).alias("length"), F.char_length("r_host").alias("host_length"),
         F.col("r_verdict").alias("verdict"), rule.alias("rule"))).alias("best"))
     return rows.join(best, (rows["host"] == best["t_host"]) & (rows["path"] == best["t_path"]), "left").select(
-        *[quoted(c) for c in kept], "host", "path", F.col("best.rule").alias("rule"),
+        "row_.*", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
