@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from brinemark.functions import waves
 from brinemark.operators.quantiles import exact_quantiles, running_count
-from brinemark.operators.sizing import checked_small, small_input
+from brinemark.session import stored
 
 EULER_GAMMA = 0.5772156649015329
 
 
-def describe(df: DataFrame, cols: Sequence[str], by: str | None = None, method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
     """Profile of each column: counts, moments, extremes and quartiles.
 
     Columns become rows of (variable, value), so all of them share one scan.
@@ -22,9 +22,6 @@ def describe(df: DataFrame, cols: Sequence[str], by: str | None = None, method:
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols])
     keys = ([by] if by else []) + ["variable"]
     long = df.select(*([by] if by else []), F.inline(pairs))
-    if method == "auto":
-        # Judge the table itself: the estimate does not see the rows unfolded above.
-        method = "hash" if small_input(df.select(*([by] if by else []), *cols)) else "bracket"
     moments = [
         F.count("value").alias("count"),
         F.count_if(F.col("value").isNull()).alias("null_count"),
@@ -34,7 +31,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: str | None = None, method:
         F.max("value").alias("max"),
     ]
     quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    profile = exact_quantiles(long, keys, "value", quartiles, extra=moments, method=method)
+    profile = exact_quantiles(long, keys, "value", quartiles, extra=moments)
     return profile.select(*keys, "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -65,32 +62,32 @@ def month_mean_std(df: DataFrame, month: str, value: str) -> DataFrame:
     return df.groupBy(month).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 
 
-def fd_histogram(df: DataFrame, value: str, method: str = "auto") -> DataFrame:
+def fd_histogram(df: DataFrame, value: str) -> DataFrame:
     """Histogram of even bins, their number by Freedman and Diaconis.
 
     Width 2·IQR·n^(-1/3) gives ceil(range / width) bins; a zero width gives one.
-    The last bin is closed. Empty bins are listed with 0.
+    The last bin is closed. Only bins with rows are listed, each with their number
+    ``bins``: one far value can make millions of empty ones.
     """
     shape = exact_quantiles(
-        df, [], value, {"q25": 0.25, "q75": 0.75}, method=method,
+        df, [], value, {"q25": 0.25, "q75": 0.75},
         extra=[F.count(value).alias("n"), F.min(F.col(value).cast("double")).alias("lo"),
                F.max(F.col(value).cast("double")).alias("hi")],
     ).first()
     if not shape["n"]:
-        return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
+        return df.sparkSession.createDataFrame([], "bin bigint, bin_lo double, bin_hi double, count bigint, bins bigint")
     lo, hi = shape["lo"], shape["hi"]
     width = 2.0 * (shape["q75"] - shape["q25"]) / shape["n"] ** (1.0 / 3.0)
     bins = max(1, -int(-((hi - lo) / width) // 1)) if width > 0 else 1
     step = (hi - lo) / bins
     v = F.col(value).cast("double")
-    index = F.least(F.floor((v - lo) / step).cast("int"), F.lit(bins - 1)) if step > 0 else F.lit(0)
+    index = F.least(F.floor((v - lo) / step).cast("long"), F.lit(bins - 1).cast("long")) if step > 0 else F.lit(0).cast("long")
     counts = df.where(v.isNotNull()).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return grid.join(counts, "bin", "left").select(
+    return counts.select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(step)).alias("bin_lo"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(step)).alias("bin_hi"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+        "count", F.lit(bins).cast("long").alias("bins"),
     )
 
 
@@ -152,10 +149,10 @@ def gumbel_moments(df: DataFrame, key: str, value: str) -> DataFrame:
     return grouped.withColumn("scale", scale).withColumn("location", F.col("mean") - F.lit(EULER_GAMMA) * F.col("scale"))
 
 
-def gumbel_histogram(df: DataFrame, value: str, method: str = "auto") -> DataFrame:
+def gumbel_histogram(df: DataFrame, value: str) -> DataFrame:
     """Histogram with the count a fitted Gumbel distribution expects per bin (extension)."""
     fit = gumbel_moments(df.withColumn("_all", F.lit("all")), "_all", value).first()
-    bins = fd_histogram(df, value, method)
+    bins = fd_histogram(df, value)
     if fit is None or not fit["scale"]:
         return bins.withColumn("expected", F.lit(None).cast("double"))
 
@@ -170,8 +167,8 @@ def exceedance_curve(df: DataFrame, key: str, value: str) -> DataFrame:
 
     Rows are first folded into distinct values with their multiplicity.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n")), "value-counts")
     ranked = running_count(counted, [key], value, "n", "below")
-    totals, _ = checked_small(counted.groupBy(key).agg(F.sum("n").alias("total")))
+    totals = counted.groupBy(key).agg(F.sum("n").alias("total"))
     return ranked.join(totals, key).select(
         key, value, (1.0 - (F.col("below") + F.col("n")) / F.col("total")).alias("p_exceed"))

@@ -18,7 +18,7 @@ from brinemark import fixed_values as fv
 from brinemark.functions import waves
 from brinemark.functions.text import hash_32
 from brinemark.operators.quantiles import exact_quantiles
-from brinemark.operators.sizing import checked_small
+from brinemark.session import stored
 
 MIN_PEAKS = 10
 SMALL_SHAPE = 1e-8
@@ -30,22 +30,21 @@ def _micros(ts: str):
 
 
 def series_thresholds(
-    df: DataFrame, key: str, ts: str, value: str, q: float = fv.THRESHOLD_QUANTILE, method: str = "auto"
+    df: DataFrame, key: str, ts: str, value: str, q: float = fv.THRESHOLD_QUANTILE
 ) -> DataFrame:
     """Per key: threshold quantile, and first and last record time."""
-    return exact_quantiles(
-        df, [key], value, {"threshold": q}, method=method,
+    return stored(exact_quantiles(
+        df, [key], value, {"threshold": q},
         extra=[F.min(_micros(ts)).alias("first_us"), F.max(_micros(ts)).alias("last_us")],
-    )
+    ), "thresholds")
 
 
 def exceedances(df: DataFrame, thresholds: DataFrame, key: str, value: str, strict: bool = False) -> DataFrame:
     """Rows at or above (``strict``: above) their key's threshold.
 
-    Thresholds are one row per key; up to a checked count they are broadcast.
+    Thresholds are one row per key; stored, they are broadcast if their bytes allow it.
     """
-    lookup, _ = checked_small(thresholds.select(key, "threshold"))
-    joined = df.join(lookup, key)
+    joined = df.join(thresholds.select(key, "threshold"), key)
     over = F.col(value) > F.col("threshold") if strict else F.col(value) >= F.col("threshold")
     return joined.where(over)
 
@@ -90,10 +89,10 @@ def decluster(over: DataFrame, key: str, ts: str, value: str, gap_seconds: float
 
 def storm_peaks(
     df: DataFrame, key: str, ts: str, value: str, gap_hours: float = fv.STORM_GAP_HOURS,
-    q: float = fv.THRESHOLD_QUANTILE, method: str = "auto",
+    q: float = fv.THRESHOLD_QUANTILE,
 ) -> tuple[DataFrame, DataFrame]:
     """(thresholds, peaks): thresholds as one small table, peaks above it."""
-    thresholds, _ = checked_small(series_thresholds(df, key, ts, value, q, method))
+    thresholds = series_thresholds(df, key, ts, value, q)
     narrow = df.select(key, ts, value)
     over = exceedances(narrow, thresholds, key, value, strict=True)
     return thresholds, decluster(over, key, ts, value, gap_hours * 3600)
@@ -118,11 +117,11 @@ def _pwm_shape_scale(b0, a1):
     return F.try_divide(-b0, spread) + 2, F.try_divide(2 * b0 * a1, spread)
 
 
-def gpd_fit_pwm(excesses: DataFrame, keys: Sequence[str]) -> DataFrame:
+def gpd_fit_pwm(excesses: DataFrame, keys: Sequence[str], min_peaks: int = MIN_PEAKS) -> DataFrame:
     """Probability-weighted-moment fit (Hosking and Wallis 1987), all in Spark.
 
     Needs ``excess``, ``rank`` and ``n``; an optional ``w`` is the multiplicity of
-    a value whose last rank is ``rank``. Fewer than ten peaks give no fit.
+    a value whose last rank is ``rank``. Fewer than ``min_peaks`` give no fit.
     """
     weight = F.col("w") if "w" in excesses.columns else F.lit(1)
     n = F.col("n")
@@ -135,7 +134,7 @@ def gpd_fit_pwm(excesses: DataFrame, keys: Sequence[str]) -> DataFrame:
         (F.sum(weight * rest * F.col("excess")) / F.max("n")).alias("_a1"),
     )
     shape, scale = _pwm_shape_scale(F.col("_b0"), F.col("_a1"))
-    enough = F.col("n_peaks") >= MIN_PEAKS
+    enough = F.col("n_peaks") >= min_peaks
     return moments.select(
         *keys, "n_peaks", F.when(enough, shape).alias("shape"), F.when(enough, scale).alias("scale"))
 
@@ -166,7 +165,7 @@ def _mle_shape_scale(y: np.ndarray) -> tuple[float, float]:
     return float(shape[best]), float(scale[best])
 
 
-def gpd_fit_mle(excesses: DataFrame, keys: Sequence[str]) -> DataFrame:
+def gpd_fit_mle(excesses: DataFrame, keys: Sequence[str], min_peaks: int = MIN_PEAKS) -> DataFrame:
     """Maximum-likelihood fit: one small NumPy call per group of peaks.
 
     Groups come from declustered peaks and are bounded by the calendar.
@@ -180,7 +179,7 @@ def gpd_fit_mle(excesses: DataFrame, keys: Sequence[str]) -> DataFrame:
         y = pdf["excess"].to_numpy(float)
         if repeated:
             y = np.repeat(y, pdf["w"].to_numpy(int))
-        usable = len(y) >= MIN_PEAKS and y.max() > 0
+        usable = len(y) >= min_peaks and y.max() > 0
         shape, scale = _mle_shape_scale(y) if usable else (None, None)
         return pd.DataFrame([[*group, len(y), shape, scale]], columns=[*keys, "n_peaks", "shape", "scale"])
 
@@ -188,10 +187,10 @@ def gpd_fit_mle(excesses: DataFrame, keys: Sequence[str]) -> DataFrame:
     return excesses.select(*needed).groupBy(*keys).applyInPandas(fit, schema)
 
 
-def gpd_fit(excesses: DataFrame, keys: Sequence[str], method: str = "pwm") -> DataFrame:
+def gpd_fit(excesses: DataFrame, keys: Sequence[str], method: str = "pwm", min_peaks: int = MIN_PEAKS) -> DataFrame:
     if method not in ("pwm", "mle"):
         raise ValueError(f"fit method must be 'pwm' or 'mle', not {method!r}")
-    return (gpd_fit_pwm if method == "pwm" else gpd_fit_mle)(excesses, keys)
+    return (gpd_fit_pwm if method == "pwm" else gpd_fit_mle)(excesses, keys, min_peaks)
 
 
 def return_level(fit: DataFrame, thresholds: DataFrame, key: str, periods: Sequence[int] = fv.RETURN_PERIODS) -> DataFrame:
@@ -238,34 +237,46 @@ def bootstrap_draws(excesses: DataFrame, key: str, resamples: int, seed: int = 0
 def return_level_ci(
     excesses: DataFrame, thresholds: DataFrame, key: str, periods: Sequence[int] = fv.RETURN_PERIODS,
     resamples: int = fv.BOOTSTRAP_RESAMPLES, confidence: float = fv.CONFIDENCE, seed: int = 0, method: str = "pwm",
+    min_peaks: int = MIN_PEAKS,
 ) -> DataFrame:
-    """Bootstrap percentile interval of each return level (``lower``, ``upper``)."""
-    fits = gpd_fit(bootstrap_draws(excesses, key, resamples, seed), [key, "b"], method)
-    levels = return_level(fits, thresholds, key, periods)
+    """Bootstrap percentile interval of each return level (``lower``, ``upper``).
+
+    Refits follow the rule of the fit itself: those that are not ``usable`` stay out,
+    and ``resamples`` says how many went in.
+    """
+    fits = gpd_fit(bootstrap_draws(excesses, key, resamples, seed), [key, "b"], method, min_peaks).where(usable())
+    levels = stored(return_level(fits, thresholds, key, periods).select(key, "period", "level"), "bootstrap")
     tail = (1 - confidence) / 2
-    # One value per resample and group: a bounded buffer.
-    return exact_quantiles(levels, [key, "period"], "level", {"lower": tail, "upper": 1 - tail}, method="hash")
+    return exact_quantiles(
+        levels, [key, "period"], "level", {"lower": tail, "upper": 1 - tail}, extra=[F.count("level").alias("resamples")])
+
+
+def usable():
+    """Whether a tail fit can give levels."""
+    return F.col("shape").isNotNull() & F.col("scale").isNotNull() & (F.col("scale") > 0)
 
 
 def forecast_levels(
     excesses: DataFrame, thresholds: DataFrame, key: str, periods: Sequence[int] = fv.RETURN_PERIODS,
     resamples: int = fv.BOOTSTRAP_RESAMPLES, confidence: float = fv.CONFIDENCE, seed: int = 0, method: str = "pwm",
+    min_peaks: int = MIN_PEAKS,
 ) -> tuple[DataFrame, DataFrame]:
     """(levels, failures): mean, lower and upper per (key, period); and the keys
     whose tail could not be fitted, with the reason."""
-    fit = gpd_fit(excesses, [key], method)
-    usable = F.col("shape").isNotNull() & F.col("scale").isNotNull() & (F.col("scale") > 0)
-    point = return_level(fit.where(usable), thresholds, key, periods)
-    interval = return_level_ci(excesses, thresholds, key, periods, resamples, confidence, seed, method)
-    levels = point.select(key, "period", F.col("level").alias("mean")).join(interval, [key, "period"])
-    fitted = fit.where(usable).select(key)
-    failures = thresholds.select(key).join(fitted, key, "left_anti").withColumn(
-        "error", F.lit("no tail fit: too few peaks or no positive scale"))
+    fit = stored(gpd_fit(excesses, [key], method, min_peaks), "tail-fits")
+    point = return_level(fit.where(usable()), thresholds, key, periods)
+    interval = return_level_ci(excesses, thresholds, key, periods, resamples, confidence, seed, method, min_peaks)
+    levels = point.select(key, "period", F.col("level").alias("mean")).join(interval.drop("resamples"), [key, "period"])
+    failures = thresholds.select(key).join(fit.where(usable()).select(key), key, "left_anti").join(
+        fit.select(key, "n_peaks"), key, "left").select(
+        key, F.coalesce("n_peaks", F.lit(0)).cast("long").alias("n_peaks"),
+        F.when(F.coalesce("n_peaks", F.lit(0)) < min_peaks, F.lit(f"fewer than {min_peaks} peaks")).otherwise(
+            "no positive scale").alias("error"))
     return levels, failures
 
 
 def band_periods(
-    profile: DataFrame, power: str, period: str, edges=fv.POWER_EDGES, labels=fv.POWER_LABELS, method: str = "auto"
+    profile: DataFrame, power: str, period: str, edges=fv.POWER_EDGES, labels=fv.POWER_LABELS
 ) -> DataFrame:
     """Median wave period of the extreme rows per power band, and over all rows
     (band NULL). Bands pool all keys."""
@@ -273,7 +284,7 @@ def band_periods(
     # Each row counts in its band and overall (NULL); a row without a band once.
     both = F.explode(F.array_distinct(F.array(band, F.lit(None).cast("string"))))
     banded = profile.select(both.alias("band"), F.col(period).alias("_t"))
-    return exact_quantiles(banded, ["band"], "_t", {"median_period": 0.5}, method=method)
+    return exact_quantiles(banded, ["band"], "_t", {"median_period": 0.5})
 
 
 def assoc_period(df: DataFrame, power: str, periods: DataFrame, edges=fv.POWER_EDGES, labels=fv.POWER_LABELS,
@@ -296,6 +307,7 @@ def assoc_period(df: DataFrame, power: str, periods: DataFrame, edges=fv.POWER_E
 def design_heights(levels: DataFrame, periods: DataFrame) -> DataFrame:
     """Heights that carry the mean, lower and upper power levels."""
     out = levels
+    periods = stored(periods, "band-periods")
     for bound in ("mean", "lower", "upper"):
         out = assoc_period(out, bound, periods, out=f"_t_{bound}")
         out = out.withColumn(f"height_{bound}", waves.height_from_power(F.col(bound), F.col(f"_t_{bound}")))

@@ -79,15 +79,30 @@ def order_forecast(df: DataFrame, key: str = "coast_name") -> DataFrame:
     return df.where(F.col("mean").isNotNull()).orderBy("metric", period_order(), "period", "mean", key)
 
 
+def pack_points(clean: DataFrame) -> DataFrame:
+    """One row per (period, metric): its points, ascending by coast.
+
+    Every period has every metric; a pair without points has an empty array. A
+    group holds one point per coast.
+    """
+    point = F.struct(F.col("coast_name").alias("coast"), "mean", "lower", "upper", "err_plus", "err_minus")
+    named = clean.where(F.col("period").isNotNull() & F.col("metric").isNotNull())
+    packed = named.groupBy("period", "metric").agg(F.sort_array(F.collect_list(point)).alias("points"))
+    metrics = F.array(*[F.lit(r["metric"]) for r in named.select("metric").distinct().orderBy("metric").collect()])
+    pairs = named.select("period").distinct().select("period", F.explode(metrics.cast("array<string>")).alias("metric"))
+    return pairs.join(packed, ["period", "metric"], "left").select(
+        "period", "metric", F.coalesce("points", F.array().cast(packed.schema["points"].dataType)).alias("points"))
+
+
 def pack_forecast(clean: DataFrame) -> DataFrame:
     """One row: metrics, periods in order, and period -> metric -> points.
 
-    Holds one point per (coast, metric, period); the forecast table is that small.
+    For a bounded forecast table (coasts x metrics x periods); ``pack_points`` gives
+    the same as a row per pair. Rows without a period or metric are left out.
     """
-    point = F.struct(F.col("coast_name").alias("coast"), "mean", "lower", "upper", "err_plus", "err_minus")
-    per_metric = clean.groupBy("period", "metric").agg(F.sort_array(F.collect_list(point)).alias("points"))
-    per_period = per_metric.groupBy("period").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "points"))).alias("by_metric"),
+    pairs = pack_points(clean)
+    per_period = pairs.groupBy("period").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "points")))).alias("by_metric"),
         F.collect_set("metric").alias("metrics"))
     ordered = F.struct(period_order().alias("o"), F.col("period").alias("p"), F.col("by_metric").alias("m"))
     packed = per_period.groupBy().agg(

@@ -74,13 +74,14 @@ def decode(df: DataFrame, dp: int = 4, steepness: bool = False) -> DataFrame:
     narrowed = F.struct(
         F.col("_stamp").alias("datetime"), *[waves.measure(F.col(f"_{name}"), dp).alias(name) for name in measures])
     once = exact.select(*df.columns, "coast_name", "year", F.inline(F.array(narrowed)))
+    identity = F.col("line_id") if "line_id" in df.columns else row_key("source_file", "data")
     return once.select(
-        *df.columns, row_key("source_file", "data").alias("id"), "coast_name", "datetime", "year", *measures)
+        *df.columns, identity.alias("id"), "coast_name", "datetime", "year", *measures)
 
 
 def row_key(*cols: str):
-    """A row's identity from its content: the same on every replay."""
-    return F.xxhash64(*cols)
+    """An identity from content, for lines without one of their own; equal lines share it."""
+    return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
 def parse_lines(df: DataFrame, reference_trim: bool = False, dp: int = 4, steepness: bool = False) -> DataFrame:

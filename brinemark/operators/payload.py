@@ -95,4 +95,4 @@ def coast_payload(daily: DataFrame, share: DataFrame, wind_mode: str = "max", do
         F.lit(fv.WIND_LABELS[wind_mode]).alias("wind_label"), "seastate", "has_data",
         "kpi_mean", "kpi_max", "kpi_wind", "year_min", "year_max", "n_records", "monthly", "annual", "monthly_by_year",
     )
-    return whole.select("id", F.col("coast_name"), "has_data", F.to_json(document).alias("json"))
+    return whole.select("id", F.col("coast_name"), "has_data", F.to_json(document, {"ignoreNullFields": "false"}).alias("json"))

@@ -1,8 +1,6 @@
 """Exact interpolated quantiles that no single task has to hold.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. That
-is the fastest form while the whole input is small, and it is used then. Beyond
-that bound the quantiles are selected in two scans:
+Quantiles are selected in two scans, whatever the size of the input:
 
 1. one sketch row per group: its count and, per quantile, two approximate cuts
    that bracket the wanted ranks with a margin well over the sketch's error;
@@ -11,8 +9,8 @@ that bound the quantiles are selected in two scans:
    per ten thousand, are shuffled; they are then ranked in slots so that even one
    hot group is spread over many tasks.
 
-The cuts only steer which rows are kept: ranks come from exact counts, and a rank
-outside its bracket raises instead of giving a wrong value.
+The cuts only steer which rows are kept: ranks come from exact counts. Where a rank
+falls outside its bracket, the brackets are widened and the rows counted again.
 """
 
 from __future__ import annotations
@@ -21,10 +19,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from brinemark.operators.sizing import checked_small, small_input
+from brinemark.session import stored
 
 SKETCH_ACCURACY = 10_000
 MARGIN = 4.0 / SKETCH_ACCURACY
+WIDEN = 16
 SLOTS = 1024
 
 
@@ -34,46 +33,48 @@ def exact_quantiles(
     value: str,
     quantiles: Mapping[str, float],
     extra: Sequence[Column] = (),
-    method: str = "auto",
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group.
 
     ``quantiles`` maps output column names to probabilities; ``extra`` holds more
-    aggregates to compute in the same first scan. ``method``: ``hash`` (one
-    buffer per group), ``bracket`` (see the module text) or ``auto``.
+    aggregates to compute in the same first scan. The result, one row per group, is
+    computed at once and kept in the shared folder. Equal rows give equal bits
+    however they are split over files. Without keys an empty input gives one row.
     """
-    if method == "auto":
-        method = "hash" if small_input(df) else "bracket"
-    if method == "hash":
-        probabilities = F.array(*[F.lit(float(q)) for q in quantiles.values()])
-        found = F.percentile(F.col(value).cast("double"), probabilities)
-        grouped = df.groupBy(*keys).agg(*extra, found.alias("_q"))
-        kept = [c for c in grouped.columns if c != "_q"]
-        return grouped.select(*kept, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(quantiles)])
-    if method != "bracket":
-        raise ValueError(f"unknown method {method!r}")
-    return _bracketed(df, list(keys), value, dict(quantiles), list(extra))
-
-
-def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
-    v = F.col(value).cast("double")
+    keys, quantiles = list(keys), dict(quantiles)
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    rows = df.withColumn("_k", group).withColumn("_v", v)
-    probes = [p for q in quantiles.values() for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    rows = df.withColumn("_k", group).withColumn("_v", F.col(value).cast("double"))
+    while True:
+        steer = stored(_sketch(rows, keys, quantiles, extra, margin), "quantile-cuts")
+        found = stored(_selected(rows, steer, quantiles), "quantiles")
+        missed = F.lit(False)
+        for name in quantiles:
+            missed = missed | F.col(name).isNull()
+        if margin >= 1 or found.where(missed).isEmpty():
+            break
+        margin *= WIDEN
+    # Groups without any value keep their row, with NULL quantiles.
+    extras = [c for c in steer.columns if c not in ("_k", "_n", "_cuts")]
+    return steer.join(found, "_k", "left").select(*[F.col("_k")[k].alias(k) for k in keys], *extras, *quantiles)
+
+
+def _sketch(rows: DataFrame, keys, quantiles, extra, margin: float) -> DataFrame:
+    """Per group: count, two cuts per quantile, and the extra aggregates."""
+    probes = [p for q in quantiles.values() for p in (max(0.0, q - margin), min(1.0, q + margin))]
     sketch = rows.groupBy(*(["_k"] if keys else [])).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", probes, SKETCH_ACCURACY).alias("_cuts"),
-        *extra,
-    )
+        F.count("_v").alias("_n"), F.percentile_approx("_v", probes, SKETCH_ACCURACY).alias("_cuts"), *extra)
     if not keys:
-        sketch = sketch.withColumn("_k", group)
+        sketch = sketch.withColumn("_k", F.struct(F.lit(0).alias("all")))
     # Small groups keep all their rows: the margin would be under one rank.
-    steer = sketch.select(
-        "_k", "_n", F.when(F.col("_n") > SKETCH_ACCURACY, F.col("_cuts")).alias("_cuts"),
-        *[c for c in sketch.columns if c not in ("_k", "_n", "_cuts")],
-    )
-    steer, _ = checked_small(steer)
+    cuts = F.when(F.col("_n") > SKETCH_ACCURACY, F.col("_cuts")).alias("_cuts")
+    return sketch.select("_k", "_n", cuts, *[c for c in sketch.columns if c not in ("_k", "_n", "_cuts")])
+
+
+def _selected(rows: DataFrame, steer: DataFrame, quantiles) -> DataFrame:
+    """``_k`` and the quantiles; NULL where a rank is outside its bracket."""
     spec = list(enumerate(quantiles.values()))
+    cuts = steer.select("_k", "_n", "_cuts")
 
     def low(i):
         return F.get("_cuts", F.lit(2 * i))
@@ -84,15 +85,6 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
     def inside(i, x):
         return F.col("_cuts").isNull() | ((x >= low(i)) & (x <= high(i)))
 
-    only = None if keys else steer.first()
-
-    def steered(part):
-        """Attach each group's count and cuts."""
-        if keys:
-            return part.join(steer.select("_k", "_n", "_cuts"), "_k")
-        cuts = F.array(*[F.lit(c) for c in only["_cuts"]]) if only["_cuts"] is not None else F.lit(None)
-        return part.withColumn("_n", F.lit(only["_n"])).withColumn("_cuts", cuts.cast("array<double>"))
-
     kept = F.lit(False)
     for i, _ in spec:
         kept = kept | inside(i, F.col("_v"))
@@ -100,7 +92,7 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
         F.sum(F.when(F.col("_cuts").isNotNull() & (F.col("_v") < low(i)), 1).otherwise(0)).alias(f"_b{i}")
         for i, _ in spec
     ]
-    present = steered(rows.where(F.col("_v").isNotNull()).select("_k", "_v"))
+    present = rows.where(F.col("_v").isNotNull()).select("_k", "_v").join(cuts, "_k")
     reduced = (
         present.withColumn("_c", F.when(kept, F.col("_v")))
         .groupBy("_k", "_c")
@@ -120,7 +112,8 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
             F.when(held, F.col("_m")).otherwise(F.col(f"_b{i}")).alias("_w"),
         )
 
-    points = steered(reduced).select("_k", "_n", F.inline(F.array(*[entry(i) for i, _ in spec]))).where("_w > 0")
+    points = stored(
+        reduced.join(cuts, "_k").select("_k", "_n", F.inline(F.array(*[entry(i) for i, _ in spec]))).where("_w > 0"), "quantile-points")
     slots = points.groupBy("_k", "_i", "_slot").agg(F.sum("_w").alias("_w"))
     before = W.partitionBy("_k", "_i").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     slots = slots.select("_k", "_i", "_slot", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_start"))
@@ -140,23 +133,13 @@ def _bracketed(df, keys, value, quantiles, extra) -> DataFrame:
 
     picks, results = [], []
     for (i, _), name in zip(spec, quantiles):
-        last = F.ceil(F.col("_h"))
-        picks += [at(F.col("_lo"), i).alias(f"_p{i}"), at(last, i).alias(f"_r{i}")]
+        picks += [at(F.col("_lo"), i).alias(f"_p{i}"), at(F.ceil(F.col("_h")), i).alias(f"_r{i}")]
         picks.append(F.max(F.when(F.col("_i") == i, F.col("_h") - F.col("_lo"))).alias(f"_f{i}"))
         lo, hi, part = F.col(f"_p{i}"), F.col(f"_r{i}"), F.col(f"_f{i}")
-        missing = F.raise_error(F.lit("a quantile fell outside its bracket")).cast("double")
-        value_at = F.when(lo.isNull() | hi.isNull(), missing).when(lo == hi, lo).otherwise(lo + part * (hi - lo))
-        results.append(value_at.alias(name))
-    extras = [c for c in steer.columns if c not in ("_k", "_n", "_cuts")]
-    if not keys:
-        found = ranked.groupBy().agg(*picks)
-        types = {f.name: f.dataType for f in steer.schema}
-        return found.select(*[F.lit(only[c]).cast(types[c]).alias(c) for c in extras],
-                            *[F.when(F.lit(only["_n"] > 0), r).alias(n) for r, n in zip(results, quantiles)])
+        results.append(F.when(lo == hi, lo).otherwise(lo + part * (hi - lo)).alias(name))
     found = ranked.groupBy("_k").agg(*picks).select("_k", *results)
-    # Groups without any value keep their row, with NULL quantiles.
-    return steer.join(found, "_k", "left").select(
-        *[F.col("_k")[k].alias(k) for k in keys], *extras, *quantiles)
+    # A group whose brackets hold no row at all must be seen as missed, too.
+    return cuts.where("_n > 0").select("_k").join(found, "_k", "left")
 
 
 def running_count(counted: DataFrame, keys: Sequence[str], value: str, n: str, out: str = "n_before") -> DataFrame:
@@ -171,7 +154,7 @@ def running_count(counted: DataFrame, keys: Sequence[str], value: str, n: str, o
     probes = [i / cut_count for i in range(cut_count + 1)]
     group = F.struct(*[F.col(k) for k in keys])
     rows = counted.withColumn("_k", group).withColumn("_v", F.col(value).cast("double"))
-    cuts, _ = checked_small(rows.groupBy("_k").agg(F.percentile_approx("_v", probes, 1000).alias("_cuts")))
+    cuts = stored(rows.groupBy("_k").agg(F.percentile_approx("_v", probes, 1000).alias("_cuts")), "count-cuts")
     placed = rows.join(cuts, "_k").withColumn("_s", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
     low = F.get("_cuts", F.col("_s") - 1)
     high = F.get("_cuts", F.col("_s"))
@@ -186,10 +169,10 @@ def running_count(counted: DataFrame, keys: Sequence[str], value: str, n: str, o
     return ranked.select(*counted.columns, out)
 
 
-def group_quantile(df: DataFrame, key: str, value: str, qs: Sequence[float], method: str = "auto") -> DataFrame:
+def group_quantile(df: DataFrame, key: str, value: str, qs: Sequence[float]) -> DataFrame:
     """One column per probability: 0.05 becomes ``q05``."""
-    return exact_quantiles(df, [key], value, {f"q{round(q * 100):02d}": q for q in qs}, method=method)
+    return exact_quantiles(df, [key], value, {f"q{round(q * 100):02d}": q for q in qs})
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", method: str = "auto") -> DataFrame:
-    return exact_quantiles(df, keys, value, {out: 0.5}, method=method)
+def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    return exact_quantiles(df, keys, value, {out: 0.5})

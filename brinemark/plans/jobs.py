@@ -9,20 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brinemark import fixed_values as fv
 from brinemark.operators import daily as daily_ops, describe, extremes, forecast as forecast_ops
 from brinemark.operators import metrics as metric_ops, payload as payload_ops, quality, sampling, seastate, share
-from brinemark.operators.sizing import small_input
-from brinemark.session import cut_lineage
+from brinemark.session import cut_lineage, stored
 from brinemark.sources import schemas, tables
 from brinemark.streaming.runs import classify, ingest, refine
 
 __all__ = ["ingest", "refine", "classify", "daily", "monthly_share", "forecast", "forecast_rows", "train",
            "train_rows", "payload", "explore"]
 
-GOLD_DAILY_FOLDER = ("year",)
+GOLD_DAILY_FOLDER = schemas.GOLD_DAILY.partition_by
 
 
 def silver(spark: SparkSession, base: str) -> DataFrame:
@@ -31,8 +30,7 @@ def silver(spark: SparkSession, base: str) -> DataFrame:
 
 def read_daily(spark: SparkSession, base: str) -> DataFrame:
     """The daily table; its folder column ``year`` is kept for pruning."""
-    stored = T.StructType([*schemas.GOLD_DAILY.schema.fields, T.StructField("year", T.IntegerType())])
-    return tables.read_or_empty(spark, schemas.GOLD_DAILY.path(base), stored)
+    return tables.read_or_empty(spark, schemas.GOLD_DAILY.path(base), schemas.GOLD_DAILY.schema)
 
 
 def daily(spark: SparkSession, base: str, late: str = "skip", since: str | None = None) -> None:
@@ -58,6 +56,7 @@ def daily(spark: SparkSession, base: str, late: str = "skip", since: str | None
         tables.overwrite_partitions(rebuilt, path, GOLD_DAILY_FOLDER)
     else:
         raise ValueError(f"late must be 'skip' or 'recompute', not {late!r}")
+    schemas.recover_partitions(spark, schemas.GOLD_DAILY)
 
 
 def monthly_share(spark: SparkSession, base: str) -> None:
@@ -70,30 +69,38 @@ def forecast_rows(
     period: str = "wave_period_s", attributes: Sequence[str] = ("wave_height_m", "wave_direction_deg"),
     gap_hours: float = fv.STORM_GAP_HOURS, q: float = fv.THRESHOLD_QUANTILE,
     return_periods: Sequence[int] = fv.RETURN_PERIODS, resamples: int = fv.BOOTSTRAP_RESAMPLES,
-    method: str = "pwm", seed: int = 0,
+    method: str = "mle", seed: int = 0, min_peaks: int = extremes.MIN_PEAKS,
 ) -> tuple[DataFrame, DataFrame]:
     """(forecast, failures) of a series table.
 
-    The series is scanned three times (threshold, peaks, band medians), each time
-    for a few columns; what follows works on peaks, which are written once.
+    ``method``: ``mle`` (maximum likelihood) or ``pwm`` (weighted moments). Keys with
+    fewer than ``min_peaks`` storms, or without a usable fit, are in ``failures``.
+
+    The series is scanned three times for a few columns: twice for the threshold,
+    once for the rows at or above it. Those, about a twentieth, are written once;
+    peaks and band medians come from them.
     """
-    # Everything below is a part of these columns, so their size bounds it.
-    quantile_method = "hash" if small_input(observed.select(key, ts, power, period)) else "bracket"
-    thresholds, peaks = extremes.storm_peaks(observed, key, ts, power, gap_hours, q, quantile_method)
-    excesses = cut_lineage(extremes.ranked_excesses(peaks, thresholds, key))
+    thresholds = extremes.series_thresholds(observed, key, ts, power, q)
+    narrow = observed.select(key, ts, power, *[c for c in (*attributes, period) if c in observed.columns])
+    over = stored(extremes.exceedances(narrow, thresholds, key, power), "exceedances")
+    peaks = extremes.decluster(over.where(F.col(power) > F.col("threshold")), key, ts, power, gap_hours * 3600)
+    excesses = stored(extremes.ranked_excesses(peaks, thresholds, key), "excesses")
     levels, failures = extremes.forecast_levels(
-        excesses, thresholds, key, return_periods, resamples, seed=seed, method=method)
-    profile = extremes.extreme_profile(observed, thresholds, key, power, [*attributes, period])
-    periods = extremes.band_periods(profile, power, period, method=quantile_method)
+        excesses, thresholds, key, return_periods, resamples, seed=seed, method=method, min_peaks=min_peaks)
+    periods = extremes.band_periods(over.select(key, *attributes, period, power), power, period)
     heights = extremes.design_heights(levels, periods)
     return forecast_ops.tidy_forecast(heights, key), failures
 
 
 def forecast(spark: SparkSession, base: str, **options) -> DataFrame:
-    """Design levels to gold (replaced, not appended); returns the failed coasts."""
+    """Design levels to gold, and the coasts without any to their own table; returns those.
+
+    Both tables are replaced, not appended.
+    """
     rows, failures = forecast_rows(silver(spark, base), **options)
     tables.overwrite_table(rows, schemas.GOLD_FORECAST.path(base))
-    return failures
+    tables.overwrite_table(failures, schemas.GOLD_FAILURES.path(base))
+    return tables.read_table(spark, schemas.GOLD_FAILURES.path(base), schemas.GOLD_FAILURES.schema)
 
 
 def train_rows(
@@ -104,7 +111,8 @@ def train_rows(
     """Cluster, label and learn from a frame of complete feature rows.
 
     ``ids`` name the columns that identify a row; the split hashes them. With
-    ``enforce_gates`` off the figures are reported but stop nothing.
+    ``enforce_gates`` off, the gates stop nothing and the model comes back all the
+    same; ``accepted`` always tells whether both were passed.
     """
     train, test = sampling.split(frame, fv.TEST_SHARE, ids, seed)
     bounds = seastate.extreme_thresholds(train, extreme_features)
@@ -122,8 +130,8 @@ def train_rows(
     held_out = seastate.label_rows(test, mixture, order, extreme, k + 1).select(*columns)
     predicted = model.transform(held_out).select(*columns, F.col("prediction").cast("int").alias("prediction"))
     figures = metric_ops.forest_gate(metric_ops.classification_metrics(predicted, "label", "prediction"))
-    accepted = not enforce_gates or figures.first()["accepted"]
-    return seastate.TrainingResult(model if accepted else None, gate, figures, predicted, accepted)
+    passed = figures.first()["accepted"] and all(r["passed"] for r in gate.select("passed").collect())
+    return seastate.TrainingResult(model if passed or not enforce_gates else None, gate, figures, predicted, passed)
 
 
 def mapped(column: str, mapping: dict[int, int]):
@@ -134,17 +142,21 @@ def mapped(column: str, mapping: dict[int, int]):
     return chosen
 
 
-def train(spark: SparkSession, base: str, model_path: str, fraction: float = 1.0, **options) -> seastate.TrainingResult:
-    """Train on every third year and save the model if it is accepted.
+def train(spark: SparkSession, base: str, model_path: str, fraction: float = 1.0, coast: str | None = None,
+          force: bool = False, **options) -> seastate.TrainingResult:
+    """Train on every third year and save the model if both gates are passed, or by ``force``.
 
-    The year filter is on the folder column, so the other years are not read.
+    ``coast`` limits training to one coast. Year and coast are folder columns, so
+    other folders are not read. ``fraction`` bounds the labelled rows for fitting.
     """
     years = quality.every_n_years(silver(spark, base), fv.TRAIN_EVERY_N_YEARS)
+    if coast is not None:
+        years = years.where(F.col("coast_name") == coast)
     strata = [F.col("coast_name"), F.date_format("datetime", "yyyyMM")]
     kept = sampling.stratified_sample(years, strata, fraction, ["id"], fv.TRAIN_SEED)
     frame = cut_lineage(seastate.training_frame(kept, extra=["id"]))
-    result = train_rows(frame, ["id"], **options)
-    if result.accepted:
+    result = train_rows(frame, ["id"], enforce_gates=not force, **options)
+    if result.accepted or force:
         seastate.save_model(result.model, model_path)
     return result
 
@@ -156,7 +168,7 @@ def payload(spark: SparkSession, base: str, out: str, wind_mode: str = "max") ->
     levels = tables.read_or_empty(spark, schemas.GOLD_FORECAST.path(base), schemas.GOLD_FORECAST.schema)
     tables.write_payload(payload_ops.coast_payload(days, shares, wind_mode), f"{out}/coasts")
     design = forecast_ops.pack_forecast(forecast_ops.clean_forecast(levels))
-    tables.write_payload(design.select(F.to_json(F.struct(*design.columns)).alias("json")), f"{out}/design")
+    tables.write_payload(design.select(F.to_json(F.struct(*design.columns), {"ignoreNullFields": "false"}).alias("json")), f"{out}/design")
 
 
 def explore(observed: DataFrame, *, month: str, wind: str, wind_dir: str, height: str, wave_dir: str, period: str,

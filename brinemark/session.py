@@ -21,6 +21,9 @@ DEFAULTS = {
 }
 
 
+_HANDED_OUT: list[str] = []
+
+
 def build_session(app_name: str = "brinemark", master: str | None = None, **conf) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -36,19 +39,44 @@ def build_session(app_name: str = "brinemark", master: str | None = None, **conf
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) is a temporary folder used.
+    Only a local session that names none gets a temporary folder. On a cluster the
+    setting is required: executors would not see each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     root = tempfile.mkdtemp(prefix="brinemark-")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder (not created)."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder (not created); ``clear_work`` deletes it."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the work folders handed out so far; what was read from them must not be used again."""
+    while _HANDED_OUT:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df, label: str):
+    """``df`` written once to the shared folder and read back.
+
+    Survives lost executors and gives the optimizer the true size in bytes, so that
+    it broadcasts the table only where that is small.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df):

@@ -28,6 +28,8 @@ def with_provenance(lines: DataFrame) -> DataFrame:
         F.col("value").alias("data"),
         F.col("_metadata.file_path").alias("source_file"),
         F.current_timestamp().alias("ingestion_timestamp"),
+        # Stored with the line, so equal lines stay apart and later replays see the same.
+        F.expr("uuid()").alias("line_id"),
     )
 
 
@@ -58,6 +60,7 @@ def write_stream(
 def run_stream(source: DataFrame, transform: Callable[[DataFrame], DataFrame], table: schemas.Table, base: str) -> None:
     """One source, one transformation, one declared table."""
     write_stream(transform(source), table.path(base), checkpoint_path(base, table), table.partition_by)
+    schemas.recover_partitions(source.sparkSession, table)
 
 
 def checkpoint_path(base: str, table: schemas.Table) -> str:

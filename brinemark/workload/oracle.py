@@ -359,6 +359,14 @@ levels AS (
 )"""
 
 
+# At the maximum of the likelihood both derivatives are zero, whatever the peaks.
+ORACLE["gpd_mle_scores"] = f"""
+WITH {EVENT_STORMS} SELECT event_type, 0.0::DOUBLE AS by_scale, 0.0::DOUBLE AS by_shape FROM peaks GROUP BY event_type
+HAVING count(*) >= 10"""
+ORACLE["forecast_failures"] = f"""
+WITH {EVENT_STORMS}, {_fit("event_type")}
+SELECT event_type, n_peaks, 'fewer than 60 peaks' AS error FROM fit WHERE n_peaks < 60"""
+
 ORACLE["gpd_fit_pwm"] = f"""
 WITH {EVENT_STORMS}, {_fit('event_type')} SELECT event_type, n_peaks, {_round('shape, scale', 6)} FROM fit"""
 ORACLE["gpd_return_levels"] = f"""
@@ -453,6 +461,12 @@ WITH {_YEAR_ROWS}
 SELECT coast_name, metric, period, mean,
   row_number() OVER (PARTITION BY metric, period ORDER BY mean DESC, coast_name)::INTEGER AS rank,
   count(*) OVER (PARTITION BY metric, period) AS total FROM clean"""
+ORACLE["pack_points"] = f"""
+WITH {_YEAR_ROWS},
+kept AS (SELECT * FROM clean WHERE NOT (metric = 'Height' AND period = 'y1997')),
+pairs AS (SELECT * FROM (SELECT DISTINCT period FROM kept), (SELECT DISTINCT metric FROM kept))
+SELECT period, metric, coalesce(string_agg(coast_name, ',' ORDER BY coast_name), '') AS coasts, round(coalesce(sum(mean), 0), 2) AS total
+FROM pairs LEFT JOIN kept USING (period, metric) GROUP BY period, metric"""
 ORACLE["select_forecast"] = f"WITH {_YEAR_ROWS} SELECT * FROM clean WHERE metric = 'Height' AND period = 'y1997'"
 
 # --- descriptive ---------------------------------------------------------------
@@ -489,10 +503,10 @@ c AS (
 ),
 h AS (
   SELECT b::INTEGER AS bin, lo + b * ((hi - lo) / bins) AS bin_lo, lo + (b + 1) * ((hi - lo) / bins) AS bin_hi,
-    coalesce(count, 0) AS count
-  FROM g, LATERAL range(0, g.bins) r(b) LEFT JOIN c ON c.bin = r.b
+    count, bins::BIGINT AS bins
+  FROM g, (SELECT bin AS b, count FROM c)
 )"""
-ORACLE["fd_histogram"] = f"WITH {_FD} SELECT bin, {_round('bin_lo, bin_hi', 6)}, count FROM h"
+ORACLE["fd_histogram"] = f"WITH {_FD} SELECT bin, {_round('bin_lo, bin_hi', 6)}, count, bins FROM h"
 
 _GUMBEL = """
 SELECT event_type, avg(value) AS mean, stddev_samp(value) AS std, count(value) AS n,
@@ -503,7 +517,7 @@ ORACLE["gumbel_moments"] = f"""
 SELECT event_type, {_round('mean, std', 6)}, n, {_round('scale, location', 6)} FROM ({_GUMBEL.format(source='events')})"""
 ORACLE["gumbel_histogram"] = f"""
 WITH {_FD}, f AS ({_GUMBEL.format(source="(SELECT 'all' AS event_type, value FROM events)")})
-SELECT bin, {_round('bin_lo, bin_hi', 5)}, count,
+SELECT bin, {_round('bin_lo, bin_hi', 5)}, count, bins,
   round(n * (exp(-exp(-(bin_hi - location) / scale)) - exp(-exp(-(bin_lo - location) / scale))), 5) AS expected
 FROM h, f"""
 
@@ -616,6 +630,9 @@ SELECT coast_name, dt::TIMESTAMP AS datetime, year(l_shipdate)::INTEGER AS year,
   round(490 * h * h * t / 1000, 4)::FLOAT AS wave_power_kW_m
 FROM src WHERE {_GOOD_KINDS}"""
 
+ORACLE["stream_identities"] = f"""
+WITH {SERIES} SELECT count(*) AS n, count(*) AS ids, 0::BIGINT AS out_of_order FROM src WHERE {_GOOD_KINDS}"""
+
 ORACLE["stream_quarantine"] = f"""
 WITH {SERIES}, {_LINE}
 SELECT error_reason, false AS resolved, count(*) AS n FROM lines WHERE error_reason <> '' GROUP BY 1"""

@@ -205,13 +205,13 @@ def group_quantile(spark, sf):
 
 @query
 def group_quantile_bracket(spark, sf):
-    return rounded(quantiles.group_quantile(table(spark, sf, "events"), "event_type", "value", QS, "bracket"), 9)
+    return rounded(quantiles.group_quantile(table(spark, sf, "events"), "event_type", "value", QS), 9)
 
 
 @query
 def table_quantile_bracket(spark, sf):
     return rounded(quantiles.exact_quantiles(
-        table(spark, sf, "lineitem"), [], "l_extendedprice", {"q05": 0.05, "q95": 0.95}, method="bracket"), 9)
+        table(spark, sf, "lineitem"), [], "l_extendedprice", {"q05": 0.05, "q95": 0.95}), 9)
 
 
 @query
@@ -283,7 +283,7 @@ def gpd_return_levels(spark, sf):
 @query
 def return_level_ci(spark, sf):
     thresholds, excesses = event_excesses(spark, sf)
-    return rounded(extremes.return_level_ci(excesses, thresholds, "event_type"), 6)
+    return rounded(extremes.return_level_ci(excesses, thresholds, "event_type").drop("resamples"), 6)
 
 
 @query
@@ -294,16 +294,37 @@ def band_periods(spark, sf):
     return rounded(extremes.band_periods(profile, "wave_power_kW_m", "wave_period_s"), 6)
 
 
+@query
+def gpd_mle_scores(spark, sf):
+    """Derivatives of the mean log-likelihood at the fitted tails: zero at a maximum."""
+    thresholds, excesses = event_excesses(spark, sf)
+    fit = extremes.gpd_fit(excesses, ["event_type"], "mle").where(extremes.usable())
+    rows = excesses.join(fit, "event_type")
+    z = F.col("excess") / F.col("scale")
+    part = z / (1 + F.col("shape") * z)
+    by_scale = F.avg((1 + F.col("shape")) * part) - 1
+    by_shape = F.avg(F.log1p(F.col("shape") * z) / F.col("shape") ** 2 - (1 + 1 / F.col("shape")) * part)
+    return rounded(rows.groupBy("event_type").agg(by_scale.alias("by_scale"), by_shape.alias("by_shape")).select(
+        "event_type", F.abs("by_scale").alias("by_scale"), F.abs("by_shape").alias("by_shape")), 3)
+
+
+@query
+def forecast_failures(spark, sf):
+    """Event types without a level when 60 storms are asked for, and why."""
+    thresholds, excesses = event_excesses(spark, sf)
+    return extremes.forecast_levels(excesses, thresholds, "event_type", resamples=20, min_peaks=60)[1]
+
+
 @query
 def forecast_mle(spark, sf):
-    """The forecast by maximum likelihood; 50 resamples of every peak set."""
-    rows, _ = jobs.forecast_rows(observed(spark, sf), method="mle", resamples=50)
+    """The forecast by maximum likelihood, as the job makes it."""
+    rows, _ = jobs.forecast_rows(observed(spark, sf))
     return rounded(rows, 5)
 
 
 @query
 def forecast_tidy(spark, sf):
-    rows, _ = jobs.forecast_rows(observed(spark, sf))
+    rows, _ = jobs.forecast_rows(observed(spark, sf), method="pwm")
     return rounded(rows, 5)
 
 
@@ -338,7 +359,17 @@ def select_forecast(spark, sf):
 @query
 def pack_forecast(spark, sf):
     packed = forecast.pack_forecast(forecast.clean_forecast(year_levels(spark, sf)))
-    return packed.select(F.to_json(F.struct("metrics", "periods", "series")).alias("json"))
+    return packed.select(F.to_json(F.struct("metrics", "periods", "series"), {"ignoreNullFields": "false"}).alias("json"))
+
+
+@query
+def pack_points(spark, sf):
+    """Coasts and sums of the packed points; one coast has no heights, so that a pair may be empty."""
+    rows = forecast.clean_forecast(year_levels(spark, sf), dp=9).where("not (metric = 'Height' and period = 'y1997')")
+    points = forecast.pack_points(rows)
+    return points.select(
+        "period", "metric", F.array_join(F.transform("points", lambda p: p["coast"]), ",").alias("coasts"),
+        F.round(F.aggregate("points", F.lit(0.0), lambda s, p: s + p["mean"]), 2).alias("total"))
 
 
 # --- descriptive ---------------------------------------------------------------
@@ -502,30 +533,43 @@ def gmm_gate(spark, sf):
 
 
 def landed(spark, sf) -> str:
-    """Raw lines written as landing text, one folder per file stem."""
+    """Raw lines written as landing text, one file per file name."""
     base = work_folder(spark, "stream")
     lines = raw_lines(spark, sf).select(
         F.regexp_extract("source_file", r"([^/]+)$", 1).alias("file"), F.col("data").alias("value"))
-    lines.write.partitionBy("file").text(f"{base}/landing")
+    lines.repartition("file").write.partitionBy("file").text(f"{base}/written")
+    # The file name tells the coast, and a writer cannot choose it.
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{base}/landing"))
+    for folder in files.listStatus(path(f"{base}/written")):
+        name = folder.getPath().getName()
+        if name.startswith("file="):
+            for part in files.listStatus(folder.getPath()):
+                files.rename(part.getPath(), path(f"{base}/landing/{name[5:]}"))
     return base
 
 
-def ingest_landed(spark, base) -> None:
-    """Ingest with the stem taken from the partition folder instead of the file name."""
-    lines = runs.read_lines_stream(spark, f"{base}/landing").select(
-        F.col("value").alias("data"),
-        F.concat(F.lit("/landing/swell/"), F.col("file")).alias("source_file"),
-        F.current_timestamp().alias("ingestion_timestamp"))
-    runs.run_stream(lines, lambda df: df, schemas.BRONZE_LINES, base)
-
-
 def streamed(spark, sf) -> str:
     base = landed(spark, sf)
-    ingest_landed(spark, base)
-    runs.refine(spark, base)
+    jobs.ingest(spark, f"{base}/landing", base)
+    jobs.refine(spark, base)
     return base
 
 
+@query
+def stream_identities(spark, sf):
+    """Observations, their distinct ids, and rows whose audit columns are missing or out of order."""
+    base = streamed(spark, sf)
+    lines = tables.read_table(spark, schemas.BRONZE_LINES.path(base), schemas.BRONZE_LINES.schema)
+    late = F.col("transformation_timestamp").isNull() | (
+        F.col("transformation_timestamp") < F.lit(lines.agg(F.max("ingestion_timestamp")).first()[0]))
+    named = lines.where("source_file is null or ingestion_timestamp is null").count()
+    return jobs.silver(spark, base).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"),
+        (F.count_if(late) + F.lit(named)).alias("out_of_order"))
+
+
 @query
 def stream_refine(spark, sf):
     base = streamed(spark, sf)
@@ -563,7 +607,7 @@ def stream_classify(spark, sf):
     """Refine, train, classify and share out, all through the job entry points."""
     base = streamed(spark, sf)
     model_path = f"{base}/model"
-    jobs.train(spark, base, model_path, trees=10, max_depth=8, max_iter=10, enforce_gates=False)
+    jobs.train(spark, base, model_path, trees=10, max_depth=8, max_iter=10, force=True)
     runs.classify(spark, base, seastate.load_model(model_path))
     jobs.monthly_share(spark, base)
     return tables.read_table(spark, schemas.GOLD_MONTHLY.path(base), schemas.GOLD_MONTHLY.schema)

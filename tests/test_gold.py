@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from brinemark.operators import climate, daily, describe, metrics, payload, sampling, share
+from brinemark.operators import climate, daily, describe, forecast, metrics, payload, sampling, share
 
 
 def observations(spark, rows):
@@ -101,14 +101,30 @@ def test_histogram_of_a_constant(spark):
     assert describe.fd_histogram(df.where("v > 5"), "v").count() == 0
 
 
-@pytest.mark.parametrize("method", ["hash", "bracket"])
-def test_describe_methods_agree(spark, sf_dir, method):
+def test_histogram_with_one_far_value(spark):
+    df = spark.range(999).select((F.col("id") % 10 / 1000).alias("v")).union(spark.range(1).select(F.lit(1e12)))
+    rows = describe.fd_histogram(df, "v").collect()
+    assert sum(r["count"] for r in rows) == 1000 and len(rows) < 20 and rows[0]["bins"] > 10**6
+
+
+def test_describe_equals_percentiles(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    got = sorted(map(str, describe.describe(df, ["l_quantity", "l_tax"], "l_returnflag", method).select(
-        "l_returnflag", "variable", "q25", "q50", "q75", "count").collect()))
-    want = sorted(map(str, describe.describe(df, ["l_quantity", "l_tax"], "l_returnflag", "hash").select(
-        "l_returnflag", "variable", "q25", "q50", "q75", "count").collect()))
-    assert got == want
+    got = {r["l_returnflag"]: r for r in describe.describe(df, ["l_quantity"], "l_returnflag").collect()}
+    want = df.groupBy("l_returnflag").agg(F.percentile("l_quantity", [0.25, 0.5, 0.75]).alias("q"), F.count("l_quantity").alias("n"))
+    for r in want.collect():
+        row = got[r["l_returnflag"]]
+        assert [row["q25"], row["q50"], row["q75"]] == pytest.approx(r["q"]) and row["count"] == r["n"]
+
+
+def test_every_period_has_every_metric(spark):
+    rows = spark.createDataFrame([
+        ("a", "10", "Power", 1.0), ("a", "100", "Power", 2.0), ("b", "10", "Height", 3.0), ("c", None, "Height", 3.0)],
+        "coast_name string, period string, metric string, mean double").selectExpr(
+        "*", "mean lower", "cast(null as double) upper", "0.0 err_plus", "0.0 err_minus")
+    packed = {(r["period"], r["metric"]): [p["coast"] for p in r["points"]] for r in forecast.pack_points(rows).collect()}
+    assert packed == {("10", "Height"): ["b"], ("10", "Power"): ["a"], ("100", "Height"): [], ("100", "Power"): ["a"]}
+    doc = forecast.pack_forecast(rows).first()
+    assert doc["metrics"] == ["Height", "Power"] and doc["periods"] == ["10", "100"] and doc["series"]["100"]["Height"] == []
 
 
 def test_rose_sums_to_all_banded_rows(spark):

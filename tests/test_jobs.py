@@ -118,7 +118,7 @@ def big_base(spark, sf_dir, tmp_path_factory):
 
     where = str(tmp_path_factory.mktemp("big"))
     rows = observed(spark, sf_dir).select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_extendedprice").alias("id"), "coast_name",
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_extendedprice").alias("id"), "coast_name",
         F.col("datetime").cast("timestamp").alias("datetime"), "year",
         "wind_speed_ms", "wave_height_m", "wave_period_s", "wave_direction_deg", "wind_direction_deg", "wave_energy", "wave_power_kW_m")
     tables.append_table(rows, schemas.SILVER_METRICS.path(where), schemas.SILVER_METRICS.partition_by)
@@ -127,8 +127,8 @@ def big_base(spark, sf_dir, tmp_path_factory):
 
 def test_train_classify_share_payload(spark, big_base, tmp_path):
     where, model_path = big_base, f"{tmp_path}/model"
-    result = jobs.train(spark, where, model_path, trees=5, max_depth=6, max_iter=5, enforce_gates=False)
-    assert result.accepted and result.gate.count() <= 6 and result.metrics.count() == 1
+    result = jobs.train(spark, where, model_path, trees=5, max_depth=6, max_iter=5, force=True)
+    assert result.model is not None and result.gate.count() <= 6 and result.metrics.count() == 1
     runs.classify(spark, where, seastate.load_model(model_path))
     classes = tables.read_table(spark, schemas.SILVER_CLASSES.path(where), schemas.SILVER_CLASSES.schema)
     assert classes.count() == jobs.silver(spark, where).count()
@@ -161,7 +161,7 @@ def test_missing_features_get_the_sentinel(spark, big_base):
 def test_declared_tables(spark, tmp_path):
     names = schemas.create_tables(spark, f"{tmp_path}/lake")
     again = schemas.create_tables(spark, f"{tmp_path}/lake")
-    assert names == again and len(names) == 7
+    assert names == again and len(names) == 8
     try:
         columns = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE {names[1]}").collect()}
         assert columns["wave_height_m"] == "Wave height, m"
@@ -171,6 +171,47 @@ def test_declared_tables(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_declared_tables_show_what_the_jobs_wrote(spark, tmp_path):
+    base = f"{tmp_path}/o'lake"
+    names = schemas.create_tables(spark, base)
+    try:
+        (tmp_path / "landing").mkdir()
+        lines = [f"{m} 3 {h} 5.0 90 1.{h % 10} 180 8 0 0 0 {y}" for y in (1980, 1981) for m in (1, 2) for h in range(24)]
+        (tmp_path / "landing" / "tuxpan.txt").write_text("\n".join(lines + lines[:1]))
+        jobs.ingest(spark, f"{tmp_path}/landing", base)
+        jobs.refine(spark, base)
+        jobs.daily(spark, base)
+        silver = spark.table("default.silver_swell_metrics")
+        assert silver.count() == len(lines) + 1 and silver.where("year = 1981").count() == 48
+        assert silver.select("id").distinct().count() == silver.count()
+        daily = spark.table("default.gold_wave_daily_summary")
+        assert daily.count() == 4 and daily.where("year = 1980").count() == 2
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from brinemark import session
+
+    told = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError):
+        session.shared_root(told)
+
+
+def test_work_folders_are_cleared(spark):
+    from brinemark import session
+
+    table = session.stored(spark.range(3), "clearing")
+    assert table.count() == 3
+    folder = session._HANDED_OUT[-1]
+    session._HANDED_OUT[:] = [folder]
+    session.clear_work(spark)
+    assert not tables.table_exists(spark, folder)
+
+
 def test_merge_schema_on_read(spark, tmp_path):
     path = f"{tmp_path}/t"
     tables.append_table(spark.createDataFrame([(1,)], "a int"), path)
