@@ -36,13 +36,16 @@ def read_daily(spark: SparkSession, base: str) -> DataFrame:
 def daily(spark: SparkSession, base: str, late: str = "skip", since: str | None = None) -> None:
     """Daily extremes of observations to gold.
 
-    ``late='skip'`` appends days without a summary and leaves the others alone, so
-    rows that arrive for a summarised day are never seen. ``late='recompute'``
-    rebuilds every year that got observations after ``since`` (a timestamp; all
-    years when None) and replaces those year folders only.
+    ``since`` (a timestamp) limits a run to what was written after it, so that its cost
+    follows the new rows and not the history. ``late='skip'`` appends days without a
+    summary and leaves the others alone, so rows that arrive for a summarised day are
+    never seen. ``late='recompute'`` rebuilds every year that got observations after
+    ``since`` (all years when None) and replaces those year folders only.
     """
     path = schemas.GOLD_DAILY.path(base)
     observed = silver(spark, base)
+    if since is not None and late == "skip":
+        observed = observed.where(F.col("transformation_timestamp") > F.lit(since).cast("timestamp"))
     if late == "skip":
         fresh = daily_ops.new_daily_rows(observed, read_daily(spark, base))
         tables.append_table(fresh.withColumn("year", F.year("date")), path, GOLD_DAILY_FOLDER)
@@ -107,12 +110,15 @@ def train_rows(
     frame: DataFrame, ids: Sequence[str], *, features: Sequence[str] = fv.MODEL_FEATURES,
     extreme_features: Sequence[str] = fv.EXTREME_FEATURES, k: int = fv.GMM_COMPONENTS, trees: int = fv.FOREST_TREES,
     max_depth: int = 30, max_iter: int = 100, seed: int = fv.TRAIN_SEED, enforce_gates: bool = True,
+    fit_rows: int | None = None,
 ) -> seastate.TrainingResult:
     """Cluster, label and learn from a frame of complete feature rows.
 
     ``ids`` name the columns that identify a row; the split hashes them. With
     ``enforce_gates`` off, the gates stop nothing and the model comes back all the
-    same; ``accepted`` always tells whether both were passed.
+    same; ``accepted`` always tells whether both were passed. ``fit_rows`` bounds the
+    labelled rows the forest is fitted on, by the order of a hash of the ids: its
+    size on the driver grows with them. Labels, gates and figures use all rows.
     """
     train, test = sampling.split(frame, fv.TEST_SHARE, ids, seed)
     bounds = seastate.extreme_thresholds(train, extreme_features)
@@ -126,7 +132,10 @@ def train_rows(
         return seastate.TrainingResult(None, gate, None, None, False)
     columns = [*ids, *features, "label"]
     labelled = seastate.label_rows(train, mixture, order, extreme, k + 1).select(*columns)
-    model = seastate.fit_forest(labelled, features, trees, max_depth, seed=seed)
+    chosen = labelled
+    if fit_rows is not None:
+        chosen = stored(labelled.orderBy(F.xxhash64(*ids), *ids).limit(fit_rows), "fit-rows")
+    model = seastate.fit_forest(chosen, features, trees, max_depth, seed=seed)
     held_out = seastate.label_rows(test, mixture, order, extreme, k + 1).select(*columns)
     predicted = model.transform(held_out).select(*columns, F.col("prediction").cast("int").alias("prediction"))
     figures = metric_ops.forest_gate(metric_ops.classification_metrics(predicted, "label", "prediction"))

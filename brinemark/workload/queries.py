@@ -511,10 +511,16 @@ def extreme_mask(spark, sf):
 ROW_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
+FIT_ROWS = 2000
+
+
 def trained(spark, sf) -> seastate.TrainingResult:
-    """A forest of 20 trees on the whole table, gates reported but not enforced."""
+    """Mixture and forest at the job's own settings; gates reported but not enforced.
+
+    The forest is fitted on at most ``FIT_ROWS`` labelled rows; all others are scored.
+    """
     frame = cut_lineage(seastate.training_frame(observed(spark, sf), extra=ROW_ID))
-    return jobs.train_rows(frame, ROW_ID, trees=20, max_depth=10, max_iter=20, enforce_gates=False)
+    return jobs.train_rows(frame, ROW_ID, enforce_gates=False, fit_rows=FIT_ROWS)
 
 
 @query
@@ -524,9 +530,12 @@ def train_forest_metrics(spark, sf):
 
 @query
 def gmm_gate(spark, sf):
-    frame = cut_lineage(seastate.training_frame(observed(spark, sf)))
-    mixture = seastate.fit_mixture(frame, max_iter=20)
-    return seastate.gmm_gate(seastate.apply_mixture(mixture, frame))
+    """Fitted on calm training rows, gated on calm rows that were held out."""
+    frame = cut_lineage(seastate.training_frame(observed(spark, sf), extra=ROW_ID))
+    train, test = sampling.split(frame, fv.TEST_SHARE, ROW_ID, fv.TRAIN_SEED)
+    extreme = seastate.extreme_mask(seastate.extreme_thresholds(train))
+    mixture = seastate.fit_mixture(train.where(~extreme))
+    return seastate.gmm_gate(seastate.apply_mixture(mixture, test.where(~extreme)))
 
 
 # --- streams and documents -----------------------------------------------------
@@ -607,7 +616,7 @@ def stream_classify(spark, sf):
     """Refine, train, classify and share out, all through the job entry points."""
     base = streamed(spark, sf)
     model_path = f"{base}/model"
-    jobs.train(spark, base, model_path, trees=10, max_depth=8, max_iter=10, force=True)
+    jobs.train(spark, base, model_path, force=True, fit_rows=FIT_ROWS)
     runs.classify(spark, base, seastate.load_model(model_path))
     jobs.monthly_share(spark, base)
     return tables.read_table(spark, schemas.GOLD_MONTHLY.path(base), schemas.GOLD_MONTHLY.schema)
