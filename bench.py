@@ -21,6 +21,7 @@ HEADLINE = [
     "seastate_matrix", "label_top_n", "group_quantile", "group_quantile_bracket", "extreme_profile", "decluster_peaks",
     "gpd_return_levels", "return_level_ci", "forecast_tidy", "describe_by", "corr_matrix", "fd_histogram", "wind_rose",
     "contingency", "exceedance_curve", "stratified_sample", "classification_metrics", "stream_refine",
+    "coast_payload", "forecast_mle", "gmm_gate", "stream_daily",
 ]
 
 

@@ -33,8 +33,12 @@ def with_provenance(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """New files of a table; ``max_files`` bounds a batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def write_stream(
@@ -83,7 +87,8 @@ def rejected_rows(lines: DataFrame, rules=quality.RULES, reference_trim: bool =
     return quality.quarantine_rows(bad)
 
 
-def refine(spark: SparkSession, base: str, rules=quality.RULES, reference_trim: bool = False) -> None:
+def refine(spark: SparkSession, base: str, rules=quality.RULES, reference_trim: bool = False,
+           max_files: int | None = None) -> None:
     """Lines to clean observations and to quarantine, each with its own checkpoint.
 
     The two filters are complements, so a line reaches exactly one table. Lines
@@ -91,7 +96,7 @@ def refine(spark: SparkSession, base: str, rules=quality.RULES, reference_trim:
     batch has to be held between them.
     """
     for table, rows in ((schemas.SILVER_METRICS, silver_rows), (schemas.QUARANTINE, rejected_rows)):
-        lines = read_table_stream(spark, schemas.BRONZE_LINES.path(base), schemas.BRONZE_LINES.schema)
+        lines = read_table_stream(spark, schemas.BRONZE_LINES.path(base), schemas.BRONZE_LINES.schema, max_files)
         run_stream(lines, lambda df, rows=rows: rows(df, rules, reference_trim), table, base)
 
 
@@ -102,7 +107,7 @@ def classified_rows(metrics: DataFrame, model) -> DataFrame:
         F.current_timestamp().alias("classification_timestamp"))
 
 
-def classify(spark: SparkSession, base: str, model) -> None:
+def classify(spark: SparkSession, base: str, model, max_files: int | None = None) -> None:
     """Observations to sea states with a trained model."""
-    metrics = read_table_stream(spark, schemas.SILVER_METRICS.path(base), schemas.SILVER_METRICS.schema)
+    metrics = read_table_stream(spark, schemas.SILVER_METRICS.path(base), schemas.SILVER_METRICS.schema, max_files)
     run_stream(metrics, lambda df: classified_rows(df, model), schemas.SILVER_CLASSES, base)

@@ -5,9 +5,8 @@ import time
 
 sys.path.insert(0, ".")
 
+from __spark_entry__ import ALL_QUERIES as QUERIES, ALL_SQL as ORACLE  # noqa: E402
 from brinemark.session import build_session  # noqa: E402
-from brinemark.workload.oracle import ORACLE  # noqa: E402
-from brinemark.workload.queries import QUERIES  # noqa: E402
 from tests.compare import difference, duck, rows_of_duck, rows_of_spark  # noqa: E402
 
 
