@@ -6,14 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brinemark.session import work_folder
+from brinemark.session import stored
 
+__all__ = ["ascii_lower", "packed", "quoted", "stored", "without"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ascii_lower(c) -> Column:
     """A-Z to a-z; every other character stays."""
-    return F.translate(c, UPPER, LOWER)
+    return F.translate(c, __all__ = ["ascii_lower", "packed", "quoted", "stored", "without"]
+UPPER, LOWER)
 
 
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:
@@ -29,15 +31,3 @@ def quoted(name: str) -> Column:
 def packed(df: DataFrame, but: Iterable[str] = ()) -> Column:
     """The columns of ``df`` other than ``but`` as one struct ``row_``, safe from clashes with an operator's own."""
     return F.struct(*[quoted(c) for c in without(df, but)]).alias("row_")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
-
-    Cuts lineage, survives lost executors, and gives the optimizer the true size,
-    so that it broadcasts the table in later joins only when it is small.
-    """
-    spark = df.sparkSession
-    path = work_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
