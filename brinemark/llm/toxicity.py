@@ -27,7 +27,7 @@ STEPS, RATE, SEED, BATCH = 3000, 4.0, 7, 32
 # Rows of fewer training texts stay out; every mean has so many empty subwords more.
 LEAST_TEXTS, LEAST_SHARE, EMPTY = 3, 0.004, 200
 SCALE, STEEP = 100.0, 4.0
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 1250
 MEMORY = 400_000
 THRESHOLD = 0.7
 OUTPUT = ("score", "predicted")
