@@ -206,6 +206,14 @@ def test_lines_keep_one_occurrence(spark):
     assert {r["doc_id"] for r in line_dedup.dedup_lines(docs, keep_emptied=False, count=None).collect()} == {1, 2}
 
 
+@pytest.mark.parametrize("unit, few, many", [
+    ("=", 80, 200), (".", 40, 60_000), ("ha ", 30, 90), ("buy cheap pills now at our shop ", 5, 20),
+    ("".join(chr(0x4E00 + k) for k in range(140)), 2, 9)])
+def test_repetitive_lines_of_other_length_are_one(spark, unit, few, many):
+    docs = spark.createDataFrame([(1, unit * few, None), (2, unit * many, None)], SCHEMA)
+    assert {r["doc_id"]: r["n_lost"] for r in line_dedup.dedup_lines(docs).collect()} == {1: 0, 2: 1}
+
+
 def test_blocks_of_a_large_band_agree(spark):
     random.seed(6)
     base = [f"word{k}" for k in range(30)]
