@@ -1,7 +1,7 @@
 """Toxicity by a linear softmax over averaged subword vectors, trained in numpy.
 
 A text is a bag of its words, each word the sum of vectors of itself and of its
-character n-grams (in a fixed number of hashed rows). The mean of them is the input
+character n-grams (in a fixed number of hashed rows), however long it is. The mean of them is the input
 of a softmax with two classes; vectors and softmax are trained together. A
 misspelling or inflection shares most n-grams with the words it comes from.
 """
@@ -22,7 +22,8 @@ from brinemark.llm.columns import quoted, without
 
 ROWS, WIDTH = 1 << 18, 4
 GRAMS = (3, 5)
-MAX_WORD = 40
+# Runs over LONG_WORD are not remembered, those over LONG_RUN are cut into n-grams in numpy, PIECE at a time.
+LONG_WORD, LONG_RUN, PIECE = 40, 400, 1 << 16
 STEPS, RATE, SEED, BATCH = 3000, 4.0, 7, 32
 # Rows of fewer training texts stay out; every mean has so many empty subwords more.
 LEAST_TEXTS, LEAST_SHARE, EMPTY = 3, 0.004, 200
@@ -39,13 +40,44 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def subwords(word: str) -> list[int]:
-    """Rows of a word and of its character n-grams, with marks at both ends."""
-    marked = f"<{word[:MAX_WORD]}>"
+def subwords(word: str) -> np.ndarray:
+    """Rows of a word and of its character n-grams, all of them, with marks at both ends."""
+    marked = f"<{word}>"
+    if len(marked) > LONG_RUN:
+        return _subwords_of_run(marked)
     grams = {marked}
     for n in range(GRAMS[0], GRAMS[1] + 1):
         grams.update(marked[i:i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode()) % ROWS for g in sorted(grams)]
+    return np.array([zlib.crc32(g.encode()) % ROWS for g in sorted(grams)], dtype=np.int64)
+
+
+def _crc_steps() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC_STEPS = _crc_steps()
+
+
+def _subwords_of_run(marked: str) -> np.ndarray:
+    """As the short form of ``subwords``; n-grams of equal length and CRC count as one."""
+    rows = [np.array([zlib.crc32(marked.encode()) % ROWS])]
+    for n in range(GRAMS[0], GRAMS[1] + 1):
+        found = []
+        for at in range(0, len(marked) - n + 1, PIECE):
+            data = np.frombuffer(marked[at:at + PIECE + n - 1].encode(), dtype=np.uint8)
+            starts = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            first, last = starts[:-n], starts[n:]
+            crc = np.full(len(first), 0xFFFFFFFF, dtype=np.uint32)
+            for k in range(int((last - first).max())):
+                some = np.flatnonzero(first + k < last)
+                old = crc[some]
+                crc[some] = CRC_STEPS[(old ^ data[first[some] + k]) & 0xFF] ^ (old >> np.uint32(8))
+            found.append(np.unique(~crc))
+        rows.append((np.unique(np.concatenate(found)) % ROWS).astype(np.int64))
+    return np.concatenate(rows)
 
 
 @dataclass
@@ -64,10 +96,12 @@ class Model:
             for word, times in Counter(words_of(text)).items():
                 part = known.get(word)
                 if part is None:
-                    if len(known) >= MEMORY:
-                        known.clear()
                     rows = subwords(word)
-                    part = known[word] = float(self.weight[rows].sum()), len(rows)
+                    part = float(self.weight[rows].sum()), len(rows)
+                    if len(word) <= LONG_WORD:
+                        if len(known) >= MEMORY:
+                            known.clear()
+                        known[word] = part
                 total += times * part[0]
                 count += times * part[1]
             logit = self.bias + total / (count + EMPTY)
@@ -82,11 +116,16 @@ def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, indexes, shares = [0], [], []
     for text in texts:
         words = Counter(words_of(text))
+        parts = []
         for word in words:
-            if word not in cache:
-                cache[word] = np.array(subwords(word), dtype=np.int64)
-        rows = np.concatenate([np.zeros(0, dtype=np.int64), *(cache[w] for w in words)])
-        times = np.repeat(np.fromiter(words.values(), dtype=np.float64, count=len(words)), [len(cache[w]) for w in words])
+            part = cache.get(word)
+            if part is None:
+                part = subwords(word)
+                if len(word) <= LONG_WORD:
+                    cache[word] = part
+            parts.append(part)
+        rows = np.concatenate([np.zeros(0, dtype=np.int64), *parts])
+        times = np.repeat(np.fromiter(words.values(), dtype=np.float64, count=len(words)), [len(x) for x in parts])
         distinct, place = np.unique(rows, return_inverse=True)
         indexes.append(distinct.astype(np.int32))
         shares.append((np.bincount(place, times, len(distinct)) / (times.sum() + EMPTY)).astype(np.float32))

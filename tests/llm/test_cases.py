@@ -94,6 +94,22 @@ def test_winnowing_misses_no_window():
         assert counts.tolist() == [1, 60, 0]
 
 
+def test_long_runs_count_whole(monkeypatch):
+    random.seed(8)
+    run = "".join(random.choice("abcé漢字仮名𠮷") for _ in range(3000))
+    long = sorted(toxicity.subwords(run))
+    monkeypatch.setattr(toxicity, "PIECE", 64)
+    assert sorted(toxicity.subwords(run)) == long
+    monkeypatch.setattr(toxicity, "LONG_RUN", 10_000)
+    assert sorted(toxicity.subwords(run)) == long
+    monkeypatch.undo()
+    calm, bad = "天気がよいので散歩に行きました" * 40, "馬鹿野郎消えろ"
+    texts = [calm + str(k) for k in range(60)] + [calm + str(k) + bad for k in range(60)]
+    model = toxicity.train(texts, [0] * 60 + [1] * 60, steps=300)
+    of = model.scorer()
+    assert of(calm + "99" + bad) > of(calm + "99") + 0.1 and of(calm + bad) == of(calm + bad)
+
+
 def test_covering_masks_cover():
     random.seed(1)
     for level in range(3):
