@@ -230,6 +230,28 @@ def test_repetitive_lines_of_other_length_are_one(spark, unit, few, many):
     assert {r["doc_id"]: r["n_lost"] for r in line_dedup.dedup_lines(docs).collect()} == {1: 0, 2: 1}
 
 
+def line_recall(common, pairs=4000):
+    """Share of pairs of lines of ``common`` + 2 * (common // 8) distinct shingles in all, at Jaccard 0.8, that share a band."""
+    random.seed(9)
+    text = lambda n: "".join(chr(random.randrange(0x4E00, 0x9E00)) for _ in range(n))
+    lines = []
+    for _ in range(pairs):
+        base = text(common + 7)
+        lines += [base + text(common // 8), base + text(common // 8)]
+    met = np.zeros(pairs, dtype=bool)
+    for places, _, keys in line_dedup.signed(lines, *line_dedup.band_draws(line_dedup.ROWS, line_dedup.BANDS)):
+        for key in keys:
+            of = np.zeros(2 * pairs, dtype=np.int64)
+            of[places] = key
+            met |= (of[::2] == of[1::2]) & (of[::2] != 0)
+    return met.mean()
+
+
+@pytest.mark.parametrize("common", [8, 24, 64, 136, 176, 536])
+def test_lines_at_the_threshold_share_a_band(common):
+    assert line_recall(common) > 0.99
+
+
 def test_blocks_of_a_large_band_agree(spark):
     random.seed(6)
     base = [f"word{k}" for k in range(30)]
