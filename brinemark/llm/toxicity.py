@@ -26,7 +26,7 @@ GRAMS = (3, 5)
 LONG_WORD, LONG_RUN, PIECE = 40, 400, 1 << 16
 STEPS, RATE, SEED, BATCH = 3000, 4.0, 7, 32
 # Rows of fewer training texts stay out; every mean has so many empty subwords more.
-LEAST_TEXTS, LEAST_SHARE, EMPTY = 3, 0.004, 200
+LEAST_TEXTS, EMPTY = 3, 200
 SCALE, STEEP = 100.0, 4.0
 SAMPLE_PER_CLASS = 1250
 MEMORY = 400_000
@@ -145,7 +145,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, rate:
         return Model(np.zeros(ROWS), float(np.log(share / (1 - share))))
     starts, index, share = _bags(texts)
     seen = np.bincount(index, minlength=ROWS)
-    known = seen >= max(min(LEAST_TEXTS, len(texts) // 20), LEAST_SHARE * len(texts))
+    known = seen >= min(LEAST_TEXTS, len(texts) // 20)
     generator = np.random.default_rng(seed)
     vectors = generator.normal(0, 0.01, (WIDTH, ROWS)).astype(np.float32)
     vectors[:, ~known] = 0

@@ -110,6 +110,14 @@ def test_long_runs_count_whole(monkeypatch):
     assert of(calm + "99" + bad) > of(calm + "99") + 0.1 and of(calm + bad) == of(calm + bad)
 
 
+def test_rare_terms_count_however_many_texts():
+    random.seed(5)
+    calm = lambda: " ".join(random.choices(["sea", "wind", "wave", "calm", "storm", "swell"], k=12))
+    bad = [f"{calm()} {'zorgblat' if k < 4 else 'vile'}" for k in range(1000)]
+    of = toxicity.train([calm() for _ in range(1000)] + bad, [0] * 1000 + [1] * 1000).scorer()
+    assert of("sea wind wave zorgblat") > of("sea wind wave") + 0.1
+
+
 def test_covering_masks_cover():
     random.seed(1)
     for level in range(3):
