@@ -135,3 +135,69 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
+
+# The cheapest repair as a recursion over the rows of each conversation, with the least
+# (cost, audit) of four output positions: nothing yet, after s, after u, after a.
+ORACLE["op11_turn_repair"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r (i))),
+hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+            lambda x: unicode(x)::BIGINT)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 20 AS h
+    FROM conversations, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM (SELECT *, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS again FROM hashed WHERE h <> 0)),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS r,
+        right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS tail
+    FROM damaged),
+faulty AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen, CASE WHEN tail = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        coalesce(lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r NOT IN ('su', 'ua', 'au'), false) AS illegal
+    FROM ordered),
+parsed AS (
+    SELECT conv_id, 0::BIGINT AS i, {'c': 0, 'a': ''} AS w0, {'c': 1000000, 'a': ''} AS ws, {'c': 5, 'a': 'I'} AS wu, {'c': 10, 'a': 'II'} AS wa
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, i, w0, ws, wu, CASE WHEN (wu.c + 5, wu.a || 'I') < (wa.c, wa.a) THEN {'c': wu.c + 5, 'a': wu.a || 'I'} ELSE wa END AS wa
+    FROM (
+        SELECT conv_id, i, w0, ws, list_min([wu, {'c': w0.c + 5, 'a': w0.a || 'I'}, {'c': ws.c + 5, 'a': ws.a || 'I'}, {'c': wa.c + 5, 'a': wa.a || 'I'}]) AS wu, wa
+        FROM (
+            SELECT p.conv_id, f.i,
+                {'c': w0.c + 2, 'a': w0.a || 'D'} AS w0,
+                list_min([{'c': ws.c + 2, 'a': ws.a || 'D'}, {'c': w0.c + keep_s, 'a': w0.a || 'K'}]) AS ws,
+                list_min([{'c': wu.c + 2, 'a': wu.a || 'D'}, {'c': w0.c + keep_u, 'a': w0.a || 'K'}, {'c': ws.c + keep_u, 'a': ws.a || 'K'},
+                    {'c': wa.c + keep_u, 'a': wa.a || 'K'}, {'c': w0.c + turned, 'a': w0.a || 'R'}, {'c': ws.c + turned, 'a': ws.a || 'R'},
+                    {'c': wa.c + turned, 'a': wa.a || 'R'}]) AS wu,
+                list_min([{'c': wa.c + 2, 'a': wa.a || 'D'}, {'c': wu.c + keep_a, 'a': wu.a || 'K'}, {'c': wu.c + turned, 'a': wu.a || 'R'}]) AS wa
+            FROM parsed p JOIN (
+                SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 6 ELSE 1 END AS turned,
+                    turned - 1 + CASE WHEN r = 's' THEN 0 ELSE 1000000 END AS keep_s, turned - 1 + CASE WHEN r = 'u' THEN 0 ELSE 1000000 END AS keep_u,
+                    turned - 1 + CASE WHEN r = 'a' THEN 0 ELSE 1000000 END AS keep_a
+                FROM faulty) f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1))),
+ends AS (SELECT conv_id, arg_max(list_min([w0, wa]), i) AS w FROM parsed GROUP BY conv_id),
+-- Edits one by one: which row each takes, and the role that the output needs there.
+edits AS (
+    SELECT conv_id, k, e, CASE WHEN e <> 'I' THEN count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY k) END AS i
+    FROM (SELECT conv_id, unnest(range(1, len(w.a) + 1)) AS k, w.a[k] AS e FROM ends)),
+kept AS (
+    SELECT e.conv_id, e.k, e.e, f.role, f.text, f.r,
+        row_number() OVER (PARTITION BY e.conv_id ORDER BY e.k) AS o,
+        first_value(CASE WHEN e.e = 'K' AND f.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id ORDER BY e.k) AS system
+    FROM edits e LEFT JOIN faulty f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND e.i = f.i WHERE e.e <> 'D'),
+texts AS (
+    SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || coalesce(text, ''), chr(10) ORDER BY k)) AS digest FROM kept GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM faulty GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CASE WHEN c.gaps IS NULL THEN 0 ELSE e.w.c END::BIGINT AS cost,
+    CASE WHEN c.gaps IS NULL THEN '' ELSE e.w.a END AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, toxicity, url_filter
+from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, toxicity, turn_repair, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,3 +89,9 @@ def op9_source_mix(spark, sf):
 @query
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"))
+
+
+@query
+def op11_turn_repair(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.digests(turns, *turn_repair.repair_turns(turn_repair.damage(turns)))
