@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, simhash, token_counts, toxicity, turn_repair, url_filter
+from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_rules, simhash, token_counts, toxicity, turn_repair, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,3 +95,10 @@ def op10_token_counts(spark, sf):
 def op11_turn_repair(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return turn_repair.digests(turns, *turn_repair.repair_turns(turn_repair.damage(turns)))
+
+
+@query
+def op12_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality_rules.quality_verdicts(docs, table(spark, sf, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
