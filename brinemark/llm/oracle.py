@@ -201,3 +201,30 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
     CASE WHEN c.gaps IS NULL THEN '' ELSE e.w.a END AS audit, coalesce(digest, sha256('')) AS repaired_sha256
 FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON e.conv_id IS NOT DISTINCT FROM t.conv_id
 """
+
+# Pieces, then words, then runs of one to three words of a piece, all by their place.
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+    SELECT lang, len, array_to_string(w[s:s + len - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, len, unnest(range(1, len(w) - len + 2)) AS s FROM lists, (VALUES (1), (2), (3)) AS v (len) WHERE len(w) >= len)
+    GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM runs WHERE len = 1 GROUP BY lang),
+candidates AS (SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w FROM runs WHERE len > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.len, c.w, c.a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, len)) AS k FROM candidates) c
+    JOIN runs l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN runs r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+scored AS (
+    SELECT lang, phrase, len, w, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+absorbed AS (
+    SELECT DISTINCT s.lang, s.phrase FROM scored s JOIN scored t ON t.lang = s.lang AND t.len = 3 AND s.len = 2
+        AND (array_to_string(t.w[1:2], ' ') = s.phrase OR array_to_string(t.w[2:3], ' ') = s.phrase) AND 100 * t.a >= 50 * s.a)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM scored s JOIN totals USING (lang) LEFT JOIN absorbed b ON b.lang = s.lang AND b.phrase = s.phrase
+WHERE b.phrase IS NULL QUALIFY rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brinemark.llm import chat_format, decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_rules, simhash, token_counts, toxicity, turn_repair, url_filter
+from brinemark.llm import chat_format, collocations, decontaminate, fingerprints, license_scan, line_dedup, mixing, quality_rules, simhash, token_counts, toxicity, turn_repair, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,3 +102,8 @@ def op12_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return quality_rules.quality_verdicts(docs, table(spark, sf, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op13_collocations(spark, sf):
+    return collocations.mine_collocations(table(spark, sf, "documents").select("lang", "text"))
