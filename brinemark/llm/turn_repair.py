@@ -56,6 +56,8 @@ class StackGraph:
             shifted = {t: self._push(node, t) for t in tokens}
             self.moves.append({t: self._reduced(to) for t, to in shifted.items() if to is not None})
         self.accepts = [self._may_end(n) for n in range(len(self.moves))]
+        # Nodes that a shift ends in; the others are reduced at once.
+        self.tops = sorted({0, *(to for moves in self.moves for to in moves.values())})
 
     def _closure(self, items: set) -> frozenset:
         items, todo = set(items), list(items)
@@ -167,7 +169,7 @@ def read_cell(cell: pa.Table) -> pa.Table:
     def close(run: list[dict], starts_cell: bool) -> None:
         rows = [(r["initial"], r["fault"], r["times"]) for r in run]
         # A run that starts within its cell starts its conversation; only others need every stack.
-        entries = range(len(graph.moves)) if starts_cell else (0,)
+        entries = graph.tops if starts_cell else (0,)
         table = [[e, n, c, a] for e in entries for n, (c, a) in graph.read({e: (0, "")}, rows).items()]
         counts = dict.fromkeys(("blank", "duplicate", "truncated"), 0)
         for _, fault, times in rows:
