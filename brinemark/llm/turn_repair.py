@@ -287,8 +287,9 @@ def hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches([{"conv_key": key, "repaired_sha256": state.hexdigest()}], schema)
 
 
-def numbered(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Distinct rows with ``times`` and their ``place`` in (conversation, turn, role, text) order; ``fault``, ``initial``.
+def numbered(turns: DataFrame, conv_id: str, turn: str, role: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows with ``times`` and their ``place`` in (conversation, turn, role, text) order; without texts:
+    ``fault`` and ``initial`` by place.
 
     Equal rows are counted before the shuffle; then ranges of the order, not
     conversations, are dealt to tasks, so that a long conversation is split.
@@ -299,15 +300,16 @@ def numbered(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     order = ["conv_key", "turn", "role", "text"]
     rows = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("times"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = stored(rows.withColumn("place", F.monotonically_increasing_id()), "turns")
-    # Small rows only: one digest a text; every place is found once, so this join has no hot key.
-    firsts = rows.groupBy("conv_key", "role", F.sha2("text", 256).alias("d")).agg(F.min("place").alias("place"))
-    firsts = firsts.select("place", F.lit(True).alias("fresh"))
     last = F.right(F.rtrim("text", F.lit(BLANKS)), F.lit(1))
-    fault = F.when(last == "", "blank").when(F.col("fresh").isNull(), "duplicate").when(~last.isin(".", "!", "?"), "truncated")
-    return rows.join(firsts, "place", "left").select(
-        "place", "conv_key", "turn", "role", "text", "times", F.coalesce(fault, F.lit("")).alias("fault"),
-        F.substring("role", 1, 1).alias("initial"))
+    rows = rows.select("*", F.substring("role", 1, 1).alias("initial"), last.alias("last"), F.unhex(F.sha2(F.col("text"), 256)).alias("digest"))
+    rows = stored(rows.withColumn("place", F.monotonically_increasing_id()), "turns")
+    # Every place is found once, so this join has no hot key.
+    firsts = rows.groupBy("conv_key", "role", "digest").agg(F.min("place").alias("place")).select("place", F.lit(True).alias("fresh"))
+    fault = F.when(F.col("last") == "", "blank").when(F.col("fresh").isNull(), "duplicate").when(
+        ~F.col("last").isin(".", "!", "?"), "truncated")
+    faults = rows.select("place", "conv_key", "initial", "last", "times").join(firsts, "place", "left").select(
+        "place", "conv_key", "initial", "times", F.coalesce(fault, F.lit("")).alias("fault"))
+    return rows, faults
 
 
 def repair_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -328,8 +330,8 @@ def repair_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     blocks of ``CELL`` rows in many tasks; what is joined per conversation is one
     character a row. Texts are only moved and digested, never held by conversation.
     """
-    rows = stored(numbered(turns, conv_id, turn, role, text), "turn-faults")
-    cells = rows.select("place", "conv_key", "initial", "fault", "times", F.expr(f"place div {CELL}").alias("cell"))
+    rows, faults = numbered(turns, conv_id, turn, role, text)
+    cells = faults.withColumn("cell", F.expr(f"place div {CELL}"))
     blocks = cells.groupBy("cell").applyInArrow(read_cell, BLOCKS)
     blocks = blocks.repartition("conv_key").sortWithinPartitions("conv_key", "first")
     parsed = stored(blocks.mapInArrow(join_blocks, PARSED), "turns-parsed")
