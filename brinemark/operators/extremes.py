@@ -22,6 +22,7 @@ from brinemark.session import stored
 
 MIN_PEAKS = 10
 SMALL_SHAPE = 1e-8
+GRID = 257
 MICROS = 1_000_000
 
 
@@ -139,52 +140,79 @@ def gpd_fit_pwm(excesses: DataFrame, keys: Sequence[str], min_peaks: int = MIN_P
         *keys, "n_peaks", F.when(enough, shape).alias("shape"), F.when(enough, scale).alias("scale"))
 
 
-def _mle_shape_scale(y: np.ndarray) -> tuple[float, float]:
-    """Maximum-likelihood fit by the one-parameter profile (Grimshaw 1993).
+def _profile(v: np.ndarray, y: np.ndarray, w: np.ndarray):
+    """Shape, scale and slope of the profile likelihood at t = shape / scale = expm1(v) / max(y).
 
-    With t = shape/scale the likelihood depends on t alone; a grid that tightens
-    around its best point finds the maximum.
+    ``w`` are weights that add up to 1. In ``v`` the largest excess stays exact however
+    close 1 + t max(y) comes to zero.
     """
-    mean, top = y.mean(), y.max()
-
-    def profile(t):
-        inner = np.log1p(np.multiply.outer(t, y))
-        shape = inner.mean(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            scale = np.where(np.abs(t) < 1e-12, mean, shape / t)
-            gain = -np.log(scale) - shape - 1
-        # A shape under -1 has an unbounded likelihood and is not a fit.
-        return np.where((scale > 0) & (shape > -1), gain, -np.inf), shape, scale
-
-    low, high = -(1 - 1e-6) / top, 20.0 / mean
-    for _ in range(7):
-        grid = np.linspace(low, high, 41)
-        gain, shape, scale = profile(grid)
-        best = int(np.argmax(gain))
-        low, high = grid[max(best - 1, 0)], grid[min(best + 1, 40)]
-    return float(shape[best]), float(scale[best])
+    top = y.max()
+    inner = 1 + np.multiply.outer(np.expm1(v), y / top)
+    inner[:, y == top] = np.exp(v)[:, None]
+    logs = np.log(inner)
+    logs[:, y == top] = v[:, None]
+    shape, slope, t = logs @ w, (y / inner) @ w, np.expm1(v) / top
+    flat = np.abs(v) < 1e-7  # an exponential tail: limits for t to 0
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        score = np.where(flat, (y * y) @ w / (2 * (y @ w)) - y @ w, 1 / t - slope * (1 + 1 / shape))
+        scale = np.where(flat, y @ w, shape / t)
+    return shape, scale, score
+
+
+def _mle_shape_scale(y: np.ndarray, w: np.ndarray) -> tuple[float, float] | None:
+    """Interior maximum of the likelihood (one-parameter profile, Grimshaw 1993), or None.
+
+    The slope of the profile must change its sign from plus to minus where the shape is
+    above -1; below, the likelihood has no bound, and a sample whose likelihood only
+    rises towards that edge has no fit. No root lies beyond 2 (mean - min) / min^2. Of
+    several maxima the highest counts.
+    """
+    w = w / w.sum()
+    top, least, mean = y.max(), y.min(), y @ w
+    if not 0 < least < top:
+        return None
+    v = np.linspace(-30.0, np.log1p(top * 2 * (mean - least) / least**2) + 1e-3, GRID)
+    shape, _, score = _profile(v, y, w)
+    found = np.flatnonzero((shape[:-1] > -1) & (score[:-1] > 0) & (score[1:] <= 0))
+    fits = []
+    for k in found:
+        low, high = v[k], v[k + 1]
+        for _ in range(11):
+            cuts = np.linspace(low, high, 17)
+            score = _profile(cuts, y, w)[2]
+            at = int(np.argmax(score <= 0))
+            low, high = cuts[max(at - 1, 0)], cuts[max(at, 1)]
+        shape, scale, _ = (float(x[0]) for x in _profile(np.array([(low + high) / 2]), y, w))
+        if shape > -1 and scale > 0:
+            fits.append((-np.log(scale) - shape, shape, scale))
+    return max(fits)[1:] if fits else None
 
 
 def gpd_fit_mle(excesses: DataFrame, keys: Sequence[str], min_peaks: int = MIN_PEAKS) -> DataFrame:
-    """Maximum-likelihood fit: one small NumPy call per group of peaks.
+    """Maximum-likelihood fit; NULL shape and scale where there are fewer than ``min_peaks`` or no maximum.
 
-    Groups come from declustered peaks and are bounded by the calendar.
+    A group is one row of declustered peaks, bounded by the calendar; one call fits the
+    groups of an Arrow batch.
     """
-    keys = list(keys)
-    types = {f.name: f.dataType.simpleString() for f in excesses.schema}
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", n_peaks bigint, shape double, scale double"
-    repeated = "w" in excesses.columns
+    weight = F.col("w") if "w" in excesses.columns else F.lit(1).cast("long")
+    tasks = int(excesses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # An explicit number: a few bytes are much work here, so they must not be coalesced.
+    groups = excesses.select(*keys, F.struct(F.col("excess").cast("double").alias("y"), weight.alias("w")).alias("_p"))
+    groups = groups.repartition(tasks, *keys).groupBy(*keys).agg(F.sort_array(F.collect_list("_p")).alias("_p"))
 
-    def fit(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf["excess"].to_numpy(float)
-        if repeated:
-            y = np.repeat(y, pdf["w"].to_numpy(int))
-        usable = len(y) >= min_peaks and y.max() > 0
-        shape, scale = _mle_shape_scale(y) if usable else (None, None)
-        return pd.DataFrame([[*group, len(y), shape, scale]], columns=[*keys, "n_peaks", "shape", "scale"])
+    @F.pandas_udf("shape double, scale double")
+    def fitted(excess: pd.Series, times: pd.Series) -> pd.DataFrame:
+        fits = []
+        for y, w in zip(excess, times):
+            y, w = np.asarray(y, float), np.asarray(w, float)
+            enough = w.sum() >= min_peaks and y.max() > 0
+            fits.append((_mle_shape_scale(y, w) if enough else None) or (None, None))
+        return pd.DataFrame(fits, columns=["shape", "scale"], dtype=float)
 
-    needed = [*keys, "excess"] + (["w"] if repeated else [])
-    return excesses.select(*needed).groupBy(*keys).applyInPandas(fit, schema)
+    n_peaks = F.aggregate("_p.w", F.lit(0).cast("long"), lambda s, n: s + n)
+    fits = groups.select(*keys, n_peaks.alias("n_peaks"), fitted(F.col("_p.y"), F.col("_p.w")).alias("_fit"))
+    # NaN is how a missing number comes back from NumPy.
+    return fits.select(*keys, "n_peaks", *[F.nanvl(f"_fit.{c}", F.lit(None).cast("double")).alias(c) for c in ("shape", "scale")])
 
 
 def gpd_fit(excesses: DataFrame, keys: Sequence[str], method: str = "pwm", min_peaks: int = MIN_PEAKS) -> DataFrame:
@@ -256,6 +284,15 @@ def usable():
     return F.col("shape").isNotNull() & F.col("scale").isNotNull() & (F.col("scale") > 0)
 
 
+def fit_failures(fit: DataFrame, thresholds: DataFrame, key: str, method: str = "pwm", min_peaks: int = MIN_PEAKS) -> DataFrame:
+    """Keys of ``thresholds`` without a usable ``fit``: key, n_peaks and the reason."""
+    peaks = F.coalesce("n_peaks", F.lit(0)).cast("long")
+    unfit = "no maximum of the likelihood above shape -1" if method == "mle" else "no positive scale"
+    failed = thresholds.select(key).join(fit.where(usable()).select(key), key, "left_anti")
+    return failed.join(fit.select(key, "n_peaks"), key, "left").select(
+        key, peaks.alias("n_peaks"), F.when(peaks < min_peaks, F.lit(f"fewer than {min_peaks} peaks")).otherwise(unfit).alias("error"))
+
+
 def forecast_levels(
     excesses: DataFrame, thresholds: DataFrame, key: str, periods: Sequence[int] = fv.RETURN_PERIODS,
     resamples: int = fv.BOOTSTRAP_RESAMPLES, confidence: float = fv.CONFIDENCE, seed: int = 0, method: str = "pwm",
@@ -267,12 +304,7 @@ def forecast_levels(
     point = return_level(fit.where(usable()), thresholds, key, periods)
     interval = return_level_ci(excesses, thresholds, key, periods, resamples, confidence, seed, method, min_peaks)
     levels = point.select(key, "period", F.col("level").alias("mean")).join(interval.drop("resamples"), [key, "period"])
-    failures = thresholds.select(key).join(fit.where(usable()).select(key), key, "left_anti").join(
-        fit.select(key, "n_peaks"), key, "left").select(
-        key, F.coalesce("n_peaks", F.lit(0)).cast("long").alias("n_peaks"),
-        F.when(F.coalesce("n_peaks", F.lit(0)) < min_peaks, F.lit(f"fewer than {min_peaks} peaks")).otherwise(
-            "no positive scale").alias("error"))
-    return levels, failures
+    return levels, fit_failures(fit, thresholds, key, method, min_peaks)
 
 
 def band_periods(

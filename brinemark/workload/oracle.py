@@ -359,13 +359,57 @@ levels AS (
 )"""
 
 
-# At the maximum of the likelihood both derivatives are zero, whatever the peaks.
+# The slope of the profile likelihood on a fine grid of v = log(1 + t max(y)), t = shape / scale;
+# where it turns from plus to minus, 60 halvings find the root. No turn, no fit.
+def _mle(key: str, least: int = 10, source: str = "peaks") -> str:
+    def at(v: str) -> str:
+        return f"""list_sum(list_transform(ys, lambda y: CASE WHEN y = top THEN {v} ELSE ln(1 + (exp({v}) - 1) * y / top) END)) / n AS k,
+      list_sum(list_transform(ys, lambda y: CASE WHEN y = top THEN y / exp({v}) ELSE y / (1 + (exp({v}) - 1) * y / top) END)) / n AS dk"""
+
+    slope = "top / (exp(v) - 1) - dk * (1 + 1 / k)"
+    return f"""
+samples AS (
+  SELECT {key}, list(peak - threshold ORDER BY peak - threshold) AS ys, count(*) AS n, max(peak - threshold) AS top,
+    ln(1 + max(peak - threshold) * 2 * (avg(peak - threshold) - min(peak - threshold)) / min(peak - threshold) ^ 2) AS high
+  FROM {source} GROUP BY {key} HAVING count(*) >= {least}
+),
+grid AS (
+  SELECT {key}, ys, n, top, v, {at("v")} FROM (SELECT *, unnest(range(0, 3000)) / 2999.0 * (high + 30.0013) - 30.0007 AS v FROM samples)
+),
+turns AS (
+  SELECT *, {slope} AS g, lead({slope}) OVER (PARTITION BY {key} ORDER BY v) AS g_next,
+    lead(v) OVER (PARTITION BY {key} ORDER BY v) AS v_next FROM grid
+),
+halved AS (
+  SELECT {key}, ys, n, top, v AS low, v_next AS high, 0 AS step FROM turns WHERE k > -1 AND g > 0 AND g_next <= 0
+  UNION ALL
+  SELECT {key}, ys, n, top, CASE WHEN {slope} > 0 THEN v ELSE low END, CASE WHEN {slope} > 0 THEN high ELSE v END, step + 1
+  FROM (SELECT *, {at("v")} FROM (SELECT *, (low + high) / 2 AS v FROM halved WHERE step < 60))
+),
+fits AS (
+  SELECT {key}, n, k AS shape, k * top / (exp(v) - 1) AS scale, ys
+  FROM (SELECT *, {at("v")} FROM (SELECT *, (low + high) / 2 AS v FROM halved WHERE step = 60))
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY ln(k * top / (exp(v) - 1)) + k) = 1
+)"""
+
+
+ORACLE["gpd_fit_mle"] = f"""
+WITH RECURSIVE {EVENT_STORMS}, {_mle("event_type")}
+SELECT p.event_type, p.n AS n_peaks, round(f.shape, 6) AS shape, round(f.scale, 6) AS scale
+FROM (SELECT event_type, count(*) AS n FROM peaks GROUP BY event_type) p LEFT JOIN fits f USING (event_type)"""
 ORACLE["gpd_mle_scores"] = f"""
-WITH {EVENT_STORMS} SELECT event_type, 0.0::DOUBLE AS by_scale, 0.0::DOUBLE AS by_shape FROM peaks GROUP BY event_type
-HAVING count(*) >= 10"""
+WITH RECURSIVE {EVENT_STORMS}, {_mle("event_type")}
+SELECT event_type,
+  round(abs(list_avg(list_transform(ys, lambda y: (1 + shape) * y / scale / (1 + shape * y / scale))) - 1), 3) AS by_scale,
+  round(abs(list_avg(list_transform(ys, lambda y: ln(1 + shape * y / scale) / shape ^ 2 - (1 + 1 / shape) * y / scale / (1 + shape * y / scale)))), 3) AS by_shape
+FROM fits"""
 ORACLE["forecast_failures"] = f"""
 WITH {EVENT_STORMS}, {_fit("event_type")}
-SELECT event_type, n_peaks, 'fewer than 60 peaks' AS error FROM fit WHERE n_peaks < 60"""
+SELECT event_type, n_peaks, 'fewer than 88 peaks' AS error FROM fit WHERE n_peaks < 88"""
+ORACLE["hourly_tails_mle"] = f"""
+WITH RECURSIVE {EVENT_STORMS}, {_mle("event_type, hour", 4, "(SELECT *, hour(peak_at) AS hour FROM peaks)")}
+SELECT p.event_type, p.hour, p.n AS n_peaks, round(shape, 5) AS shape, round(scale, 5) AS scale, shape IS NOT NULL AS fitted
+FROM (SELECT event_type, hour(peak_at) AS hour, count(*) AS n FROM peaks GROUP BY ALL) p LEFT JOIN fits f USING (event_type, hour)"""
 
 ORACLE["gpd_fit_pwm"] = f"""
 WITH {EVENT_STORMS}, {_fit('event_type')} SELECT event_type, n_peaks, {_round('shape, scale', 6)} FROM fit"""

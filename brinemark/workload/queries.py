@@ -310,9 +310,20 @@ def gpd_mle_scores(spark, sf):
 
 @query
 def forecast_failures(spark, sf):
-    """Event types without a level when 60 storms are asked for, and why."""
+    """Event types without a level when 88 storms are asked for, and why."""
     thresholds, excesses = event_excesses(spark, sf)
-    return extremes.forecast_levels(excesses, thresholds, "event_type", resamples=20, min_peaks=60)[1]
+    fit = extremes.gpd_fit(excesses, ["event_type"], min_peaks=88)
+    return extremes.fit_failures(fit, thresholds, "event_type", min_peaks=88)
+
+
+@query
+def hourly_tails_mle(spark, sf):
+    """Tails of each event type by hour of the day, some of which have no maximum."""
+    thresholds, peaks = event_peaks(spark, sf)
+    hour = F.hour(F.timestamp_micros("peak_us")).cast("long").alias("hour")
+    excesses = peaks.join(thresholds, "event_type").select("event_type", hour, (F.col("peak") - F.col("threshold")).alias("excess"))
+    fit = extremes.gpd_fit(excesses, ["event_type", "hour"], "mle", min_peaks=4)
+    return rounded(fit.withColumn("fitted", extremes.usable()), 5)
 
 
 @query

@@ -149,3 +149,37 @@ def test_period_labels_sort_by_number(spark):
 def test_empty_forecast_packs_to_nothing(spark):
     df = spark.createDataFrame([], "coast_name string, metric string, period string, mean double")
     assert forecast.pack_forecast(forecast.clean_forecast(df)).count() == 0
+
+
+def test_likelihood_without_a_maximum_is_no_fit(spark):
+    # Nearly uniform with a sharp end: the likelihood only rises towards shape -1.
+    y = np.r_[np.linspace(8.0, 9.9, 9), 10.0, 10.0]
+    assert extremes._mle_shape_scale(y, np.ones(len(y))) is None
+    rows = pd.DataFrame({"k": "a", "excess": y}).assign(n=len(y))
+    df = spark.createDataFrame(rows)
+    fit = extremes.gpd_fit(df, ["k"], "mle")
+    assert fit.first().asDict() == {"k": "a", "n_peaks": 11, "shape": None, "scale": None}
+    thresholds = spark.createDataFrame([("a",), ("b",)], "k string")
+    failed = {r["k"]: (r["n_peaks"], r["error"]) for r in extremes.fit_failures(fit, thresholds, "k", "mle").collect()}
+    assert failed == {"a": (11, "no maximum of the likelihood above shape -1"), "b": (0, "fewer than 10 peaks")}
+
+
+def test_fit_is_a_maximum_wherever_there_is_one():
+    rng = np.random.default_rng(4)
+    found = 0
+    for _ in range(150):
+        y = gpd_sample(rng.uniform(-0.6, 0.6) or 0.1, 2.0, int(rng.integers(10, 60)), int(rng.integers(1 << 30)))
+        fit = extremes._mle_shape_scale(y, np.ones(len(y)))
+        if fit is None:
+            continue
+        found += 1
+
+        def gain(shape, scale):
+            z = 1 + shape * y / scale
+            return -len(y) * np.log(scale) - (1 + 1 / shape) * np.log(z).sum() if z.min() > 0 else -np.inf
+
+        best = gain(*fit)
+        assert fit[0] > -1
+        for ds, dg in ((1e-3, 0), (-1e-3, 0), (0, 1e-3), (0, -1e-3), (1e-3, 1e-3), (-1e-3, -1e-3)):
+            assert gain(fit[0] + ds, fit[1] + dg) <= best + 1e-9
+    assert found > 100
