@@ -22,7 +22,9 @@ from brinemark.llm.columns import quoted, stored
 BREAKS, NO_LANGUAGE = b".,;:!?\n\x0b\x0c\r", "und"
 LEAST_COUNT, LONGEST, TOP, ABSORBED_PERCENT = 10, 3, 2000, 50
 
-BLOCK_WORDS = 1 << 19  # words of a block, at least; no effect on results
+BLOCK_WORDS = 1 << 20  # words of a block, at least; no effect on results
+PART_WORDS = 1 << 21  # words of the corpus a part, which holds a share of all cells; no effect on results
+SIDE = 16  # ranks on a side of the squares that are dealt to parts
 TILE = 1024  # ranks on a side of a tile
 DENSE = TILE * TILE // 16  # pairs from which a tile is counted densely
 SALTS = 64
@@ -30,8 +32,11 @@ SALTS = 64
 _LOWER = bytes(ord("!") if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLOCKS = "lang string, words array<string>, counts array<long>, codes binary"
 _BLOCKS = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary())])
-CELLS = "block long, head long, tail long, n long"
-_CELLS = pa.schema([(c, pa.int64()) for c in ("block", "head", "tail", "n")])
+# Cells of one block and part as packed numbers, in order; ``block`` is NULL where ids come back to a part.
+CELLS = "part long, block long, size long, heads binary, tails binary, counts binary"
+_CELLS = pa.schema([(c, pa.int64()) for c in ("part", "block", "size")] + [(c, pa.binary()) for c in ("heads", "tails", "counts")])
+SUMS = "part long, head long, tail long, f long"
+_SUMS = pa.schema([(c, pa.int64()) for c in ("part", "head", "tail", "f")])
 
 
 class _Block:
@@ -123,28 +128,142 @@ class _Sequence:
         self.heads, self.head_ids, self.length = heads_, new_ids, self.length + 1
 
 
-def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells (block, head id, tail id, n) of the next longer phrases of every block."""
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers in four bytes each where that is enough, else in eight."""
+    return values.astype("<i4" if not len(values) or values.max() < 1 << 31 else "<i8").tobytes()
+
+
+def _unpack(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<i{len(data) // size}").astype(np.int64)
+
+
+def _part_of(heads: np.ndarray, tails: np.ndarray, parts: int) -> np.ndarray:
+    """The part of every cell: small squares of the matrix are dealt out, so that no part has all cells of frequent words."""
+    mixed = (heads // SIDE).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (tails // SIDE).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(31)
+    return (mixed % np.uint64(parts)).astype(np.int64)
+
+
+def _cells(part: int, block: int | None, heads: np.ndarray, tails: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    row = {"part": part, "block": block, "size": len(heads), "heads": _pack(heads), "tails": _pack(tails), "counts": _pack(counts)}
+    return pa.RecordBatch.from_pylist([row], schema=_CELLS)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {name: batch.column(i)[k] for i, name in enumerate(batch.schema.names)}
-            pairs = lambda name: [np.asarray(row[name].values.field(i)) for i in range(row[name].values.type.num_fields)]
-            block = _Sequence(row["codes"].as_py(), *pairs("words"))
-            for name in batch.schema.names[3:]:
-                block.lengthen(*pairs(name))
+            yield {name: batch.column(i)[k] for i, name in enumerate(batch.schema.names)}
+
+
+def _block_counter(parts: int):
+    """Blocks to the cells of their next longer phrases, part by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            numbers = [np.asarray(row["words"].values.field(i)) for i in range(2)]
+            block = _Sequence(row["codes"].as_py(), *numbers)
+            for name in [n for n in row if n.startswith("links")]:
+                links = [{k: (v if k == "size" else _unpack(v, r["size"])) for k, v in r.items()} for r in row[name].as_py()]
+                block.lengthen(*(np.concatenate([r[k] for r in links]) for k in ("heads", "tails", "counts")))
             _, rows, columns = block.neighbours()
             if not len(rows):
                 continue
             rows, columns, counts = count_cells(rows, columns, len(block.head_ids), len(block.word_ids))
-            cells = [np.full(len(rows), row["block"].as_py()), block.head_ids[rows], block.word_ids[columns], counts]
-            for start in range(0, len(rows), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[start:start + 100_000], pa.int64()) for c in cells], schema=_CELLS)
+            heads, tails = block.head_ids[rows], block.word_ids[columns]
+            of = _part_of(heads, tails, parts)
+            order = np.lexsort((tails, heads, of))
+            heads, tails, counts, of = heads[order], tails[order], counts[order], of[order]
+            for cut in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
+                yield _cells(int(of[cut[0]]), row["block"].as_py(), heads[cut], tails[cut], counts[cut])
+
+    return run
+
+
+def _added(held: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    heads, tails, counts = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((tails, heads))
+    heads, tails, counts = heads[order], tails[order], counts[order]
+    first = np.flatnonzero(np.r_[True, (np.diff(heads) != 0) | (np.diff(tails) != 0)])
+    return [(heads[first], tails[first], np.add.reduceat(counts, first))]
+
+
+def _adder(least_count: int):
+    """Cells that come sorted by part to the sums of at least ``least_count``; holds the distinct cells of one part."""
+
+    def sums(part: int, held: list) -> Iterator[pa.RecordBatch]:
+        heads, tails, counts = _added(held)[0]
+        at = np.flatnonzero(counts >= least_count)
+        columns = [np.full(len(at), part), heads[at], tails[at], counts[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_SUMS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, size, least = None, [], 0, 1 << 21
+        for row in _rows(batches):
+            if held and row["part"].as_py() != part:
+                yield from sums(part, held)
+                held, size, least = [], 0, 1 << 21
+            part, n = row["part"].as_py(), row["size"].as_py()
+            held.append(tuple(_unpack(row[c].as_py(), n) for c in ("heads", "tails", "counts")))
+            size += n
+            if size > least:
+                held = _added(held)
+                size = len(held[0][0])
+                least = max(least, 2 * size)
+        if held:
+            yield from sums(part, held)
+
+    return run
+
+
+def send_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells that come by part, after the frequent cells of that part with their ids (``block`` NULL): the frequent
+    cells of every block, with ids in place of counts."""
+    part, known = None, None
+    for row in _rows(batches):
+        n = row["size"].as_py()
+        heads, tails, numbers = (_unpack(row[c].as_py(), n) for c in ("heads", "tails", "counts"))
+        if row["block"].as_py() is None:
+            order = np.lexsort((tails, heads))
+            part, known = row["part"].as_py(), (heads[order], tails[order], numbers[order])
+        elif row["part"].as_py() == part:
+            # Both sides by head, then tail: places among the known cells of the same head.
+            low, high = np.searchsorted(known[0], heads, "left"), np.searchsorted(known[0], heads, "right")
+            at = _within(known[1], tails, low, high)
+            hit = np.flatnonzero(at >= 0)
+            if len(hit):
+                yield _cells(part, row["block"].as_py(), heads[hit], tails[hit], known[2][at[hit]])
+
+
+def _within(values: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in the sorted stretches low to high of ``values``, else -1, by bisection of all at once."""
+    ends, last = high.copy(), len(values) - 1
+    while True:
+        open_ = low < high
+        if not open_.any():
+            break
+        middle = (low + high) // 2
+        less = open_ & (values[np.minimum(middle, last)] < wanted)
+        low, high = np.where(less, middle + 1, low), np.where(open_ & ~less, middle, high)
+    return np.where((low < ends) & (values[np.minimum(low, last)] == wanted), low, -1)
 
 
 def _ranked(phrases: DataFrame, label: str) -> DataFrame:
-    """``phrases`` with ids in order of language and frequency; gaps between ids do no harm."""
+    """``phrases`` with ids from 0 in order of language and frequency; the sort is dealt in ranges."""
     order = ["lang", F.desc("f"), "phrase"]
-    return stored(phrases.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id()), label)
+    sorted_ = phrases.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at_", F.monotonically_increasing_id())
+    sorted_ = stored(sorted_, label).withColumn("range_", F.shiftright("at_", 33))
+    sizes = sorted_.groupBy("range_").agg(F.min("at_").alias("first_"), F.count(F.lit(1)).alias("size_"))
+    # One row a range of the sort, that is a task.
+    before = F.coalesce(F.sum("size_").over(Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("range_", (before - F.col("first_")).alias("shift_"))
+    return stored(sorted_.join(F.broadcast(sizes), "range_").withColumn("id", F.col("at_") + F.col("shift_")).drop(
+        "range_", "at_", "shift_"), label)
+
+
+def _pack_ids(known: pa.Table) -> pa.Table:
+    """The frequent cells of a part as one row."""
+    part, heads, tails, ids = (known.column(c).to_numpy() for c in ("part", "head", "tail", "id"))
+    return pa.Table.from_batches([_cells(int(part[0]), None, heads, tails, ids)])
 
 
 def _by_block(rows: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -169,17 +288,21 @@ def frequent_phrases(docs: DataFrame, least_count: int, longest: int, lang: str
         "block", "codes", "words")
     if longest > 2:
         ready = stored(ready, "ranked-blocks")
+    parts = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // PART_WORDS
     for length in range(2, longest + 1):
-        cells = stored(ready.mapInArrow(count_blocks, CELLS), f"cells-{length}")
-        found = cells.groupBy("head", "tail").agg(F.sum("n").alias("f")).where(F.col("f") >= least_count)
+        cells = ready.mapInArrow(_block_counter(parts), CELLS)
+        if length < longest:
+            cells = stored(cells, f"cells-{length}")
+        found = cells.repartition("part").sortWithinPartitions("part").mapInArrow(_adder(least_count), SUMS)
         heads = levels[-1].select(F.col("id").alias("head"), "lang", F.col("phrase").alias("first_"), F.col("ids").alias("ids_"))
         tails = levels[0].select(F.col("id").alias("tail"), F.col("phrase").alias("last_"))
         named = found.join(heads, "head").join(tails, "tail").select(
-            "lang", F.concat_ws(" ", "first_", "last_").alias("phrase"), F.concat("ids_", F.array("tail")).alias("ids"), "head", "tail", "f")
+            "lang", F.concat_ws(" ", "first_", "last_").alias("phrase"), F.concat("ids_", F.array("tail")).alias("ids"), "part", "head", "tail", "f")
         levels.append(_ranked(named, f"frequent-{length}"))
         if length < longest:
-            known = cells.join(levels[-1].select("head", "tail", "id"), ["head", "tail"])
-            ready = ready.join(_by_block(known, f"links{length}", "head", "tail", "id"), "block")
+            known = levels[-1].groupBy("part").applyInArrow(_pack_ids, CELLS)
+            sent = cells.unionByName(known).repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block")).mapInArrow(send_ids, CELLS)
+            ready = ready.join(_by_block(sent, f"links{length}", "size", "heads", "tails", "counts"), "block")
     phrases = levels[0].select("lang", "ids", "phrase", "f")
     for level in levels[1:]:
         phrases = phrases.unionByName(level.select("lang", "ids", "phrase", "f"))
@@ -236,8 +359,9 @@ def mine_collocations(
     NULL languages are ``und``; NULL and empty texts have no words; repeated rows count
     each time; ties go by a, then by phrase in byte order; an empty table has no
     phrases; other columns are not read. Very long texts are a block of their own.
-    Counts are exact and cover every text. What is shuffled are distinct words and
-    pairs of a block with their counts, never word occurrences.
+    Counts are exact and cover every text. What is shuffled are distinct words of a
+    block, and its distinct cells packed by part, never word occurrences; the number of
+    parts grows with the corpus, so that a task holds the distinct cells of one part.
     """
     phrases, totals = frequent_phrases(docs, least_count, longest, lang, text)
     candidates = stored(scored(phrases), "candidates")

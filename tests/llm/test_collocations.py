@@ -43,7 +43,9 @@ def mined(df, **options):
     return sorted(tuple(r[c] for c in names) for r in co.mine_collocations(df, **options).collect())
 
 
-def test_random_texts_of_three_and_four_words(spark):
+@pytest.mark.parametrize("part_words", [1 << 21, 300])
+def test_random_texts_of_three_and_four_words(spark, monkeypatch, part_words):
+    monkeypatch.setattr(co, "PART_WORDS", part_words)
     dice = random.Random(4)
     words = ["A", "b", "cé", "D", "e f", "g\x1ch", "-", "'"]
     rows = [(dice.choice(["en", "fr", None, ""]), "".join(dice.choice(words) + dice.choice([" ", " ", " ", "\t", "  ", ", ", ".", "\n", "\r", "!x "])
