@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -60,11 +61,22 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_work(spark: SparkSession) -> None:
-    """Delete the work folders handed out so far; what was read from them must not be used again."""
-    while _HANDED_OUT:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def work_mark() -> int:
+    """A mark in the work folders handed out so far, for ``clear_work``."""
+    return len(_HANDED_OUT)
+
+
+def clear_work(spark: SparkSession, since: int = 0, keep: Sequence = ()) -> None:
+    """Delete the work folders handed out after ``since``, but for those that the data frames of ``keep`` read.
+
+    What was read from the deleted ones must not be used again.
+    """
+    kept = [f.split(":", 1)[-1] for df in keep for f in df.inputFiles()]
+    for path in _HANDED_OUT[since:]:
+        if not any(f"/{path.rstrip('/').rsplit('/', 1)[-1]}/" in f for f in kept):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _HANDED_OUT.remove(path)
 
 
 def stored(df, label: str):
