@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from brinemark.llm.columns import quoted, stored
+from brinemark.session import clear_work, work_mark
 
 # What ends a piece, and the language of texts without one.
 BREAKS, NO_LANGUAGE = b".,;:!?\n\x0b\x0c\r", "und"
@@ -275,9 +276,11 @@ def frequent_phrases(docs: DataFrame, least_count: int, longest: int, lang: str
     """(``phrases``, ``totals``): lang, ids, phrase, f of all phrases of 1 to ``longest`` words that occur
     ``least_count`` times, and lang, n. Phrase f and all totals are exact."""
     texts = docs.select(F.coalesce(quoted(lang), F.lit(NO_LANGUAGE)).alias("lang"), quoted(text).alias("text"))
+    spark, mark = docs.sparkSession, work_mark()
     blocks = texts.where(F.col("text").isNotNull()).mapInArrow(number_words, BLOCKS)
     blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
     totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, n: s + n).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stored(totals, "language-words")
 
     local = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("k", "w")).select(
         "block", "lang", (F.col("k") + 1).cast("long").alias("number"), F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
@@ -288,6 +291,7 @@ def frequent_phrases(docs: DataFrame, least_count: int, longest: int, lang: str
         "block", "codes", "words")
     if longest > 2:
         ready = stored(ready, "ranked-blocks")
+        clear_work(spark, mark, [ready, totals, *levels])
     parts = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // PART_WORDS
     for length in range(2, longest + 1):
         cells = ready.mapInArrow(_block_counter(parts), CELLS)
@@ -302,7 +306,10 @@ def frequent_phrases(docs: DataFrame, least_count: int, longest: int, lang: str
         if length < longest:
             known = levels[-1].groupBy("part").applyInArrow(_pack_ids, CELLS)
             sent = cells.unionByName(known).repartition("part").sortWithinPartitions("part", F.asc_nulls_first("block")).mapInArrow(send_ids, CELLS)
+            sent = stored(sent, f"ids-{length}")
+            clear_work(spark, mark, [ready, totals, sent, *levels])
             ready = ready.join(_by_block(sent, f"links{length}", "size", "heads", "tails", "counts"), "block")
+    clear_work(spark, mark, [totals, *levels])
     phrases = levels[0].select("lang", "ids", "phrase", "f")
     for level in levels[1:]:
         phrases = phrases.unionByName(level.select("lang", "ids", "phrase", "f"))
