@@ -68,13 +68,13 @@ def format_chats(
 
 
 def read_back(formatted: Column) -> Column:
-    """The (role, text) turns of a formatted conversation."""
+    """The (role, text) turns of a formatted conversation; every run is cut in role and body once."""
     runs = F.filter(F.split(formatted, r"<\|im_end\|>"), lambda r: r != "")
-    return F.flatten(F.transform(runs, lambda r: F.transform(
-        F.split(F.element_at(F.split(r, r"<\|im_sep\|>"), 2), r"<\|im_next\|>"),
-        lambda t: F.struct(
-            unescape(F.regexp_replace(F.element_at(F.split(r, r"<\|im_sep\|>"), 1), r"^<\|im_start\|>", "")).alias("role"),
-            unescape(t).alias("text")))))
+    cut = F.transform(runs, lambda r: F.split(r, r"<\|im_sep\|>", 2))
+    named = F.transform(cut, lambda p: F.struct(
+        unescape(F.regexp_replace(p[0], r"^<\|im_start\|>", "")).alias("role"), F.split(p[1], r"<\|im_next\|>").alias("texts")))
+    return F.flatten(F.transform(named, lambda r: F.transform(r["texts"], lambda t: F.struct(
+        r["role"].alias("role"), unescape(t).alias("text")))))
 
 
 def trained_text(segments: Column) -> Column:
