@@ -21,6 +21,7 @@ def daily_summary(
     value: str = "wave_height_m",
     attributes: Mapping[str, str] = SILVER_ATTRIBUTES,
     dtype: str = "float",
+    windowed: bool = False,
 ) -> DataFrame:
     """Per day and key: highest, lowest and mean value, with the attributes found
     at the highest and at the lowest.
@@ -29,14 +30,17 @@ def daily_summary(
     supplies all attributes. The aggregate combines map-side: what is shuffled is
     one row per (key, day) and task, whatever the skew of keys or days.
     ``attributes`` maps source columns to output labels; ``dtype`` None keeps types.
+    ``windowed`` groups by event-time windows, so that a stream can close its days.
     """
     v = F.col(value)
     detail = [F.col(ts).alias("_ts"), *[F.col(source).alias(label) for source, label in attributes.items()]]
     known = v.isNotNull()
     highest = F.min(F.when(known, F.struct((-v).alias("_v"), *detail)))
     lowest = F.min(F.when(known, F.struct(v.alias("_v"), *detail)))
-    grouped = df.groupBy(F.to_date(ts).alias("date"), F.col(key)).agg(
-        highest.alias("_hi"), lowest.alias("_lo"), F.avg(v).alias("_mean"))
+    day = F.window(ts, "1 day").alias("_day") if windowed else F.to_date(ts).alias("date")
+    grouped = df.groupBy(day, F.col(key)).agg(highest.alias("_hi"), lowest.alias("_lo"), F.avg(v).alias("_mean"))
+    if windowed:
+        grouped = grouped.withColumn("date", F.to_date("_day.start"))
 
     def typed(column, name):
         return (column.cast(dtype) if dtype else column).alias(name)

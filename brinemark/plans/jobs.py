@@ -8,13 +8,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brinemark import fixed_values as fv
 from brinemark.operators import daily as daily_ops, describe, extremes, forecast as forecast_ops
 from brinemark.operators import metrics as metric_ops, payload as payload_ops, quality, sampling, seastate, share
-from brinemark.session import cut_lineage, stored
+from brinemark.session import cut_lineage, spread, stored
 from brinemark.sources import schemas, tables
 from brinemark.streaming.runs import classify, ingest, refine
 
@@ -22,6 +23,7 @@ __all__ = ["ingest", "refine", "classify", "daily", "monthly_share", "forecast",
            "train_rows", "payload", "explore"]
 
 GOLD_DAILY_FOLDER = schemas.GOLD_DAILY.partition_by
+PROGRESS = "refined_until timestamp"
 
 
 def silver(spark: SparkSession, base: str) -> DataFrame:
@@ -33,33 +35,62 @@ def read_daily(spark: SparkSession, base: str) -> DataFrame:
     return tables.read_or_empty(spark, schemas.GOLD_DAILY.path(base), schemas.GOLD_DAILY.schema)
 
 
-def daily(spark: SparkSession, base: str, late: str = "skip", since: str | None = None) -> None:
-    """Daily extremes of observations to gold.
+def progress_path(base: str, late: str) -> str:
+    return f"{base.rstrip('/')}/progress/{schemas.GOLD_DAILY.layer}_{schemas.GOLD_DAILY.name}_{late}"
+
+
+def read_progress(spark: SparkSession, base: str, late: str) -> datetime | None:
+    """When the newest row was refined that the daily table takes account of in the sense of ``late``; None if unknown."""
+    marks = tables.read_or_empty(spark, progress_path(base, late), PROGRESS)
+    return marks.agg(F.max("refined_until")).first()[0]
+
 
-    ``since`` (a timestamp) limits a run to what was written after it, so that its cost
-    follows the new rows and not the history. ``late='skip'`` appends days without a
-    summary and leaves the others alone, so rows that arrive for a summarised day are
-    never seen. ``late='recompute'`` rebuilds every year that got observations after
-    ``since`` (all years when None) and replaces those year folders only.
+def daily(spark: SparkSession, base: str, late: str = "skip", since: str | None = None) -> None:
+    """Daily extremes of observations to gold; a run costs what is new.
+
+    Observations refined after a mark are new. The mark is kept in ``progress`` and
+    moves when the daily table has been written, so a run that dies is repeated;
+    ``since`` (a timestamp) overrides it. ``late='skip'`` appends days without a summary
+    and leaves the others alone, so rows that arrive for a summarised day are never
+    seen. ``late='recompute'`` rebuilds the days that got observations and no others:
+    of the observations only the folders of their coasts and years are read, and only
+    their year folders of the daily table are replaced. The two ways keep a mark each;
+    without one, all history is new.
     """
-    path = schemas.GOLD_DAILY.path(base)
-    observed = silver(spark, base)
-    if since is not None and late == "skip":
-        observed = observed.where(F.col("transformation_timestamp") > F.lit(since).cast("timestamp"))
+    if late not in ("skip", "recompute"):
+        raise ValueError(f"late must be 'skip' or 'recompute', not {late!r}")
+    path, observed = schemas.GOLD_DAILY.path(base), silver(spark, base)
+    first_run = not tables.table_exists(spark, path)
+    since = F.lit(since).cast("timestamp") if since is not None else F.lit(read_progress(spark, base, late))
+    fresh = observed.where(since.isNull() | (F.col("transformation_timestamp") > since))
+    until = fresh.agg(F.max("transformation_timestamp")).first()[0]
     if late == "skip":
-        fresh = daily_ops.new_daily_rows(observed, read_daily(spark, base))
-        tables.append_table(fresh.withColumn("year", F.year("date")), path, GOLD_DAILY_FOLDER)
-    elif late == "recompute":
-        if since is not None:
-            newer = observed.where(F.col("transformation_timestamp") > F.lit(since).cast("timestamp"))
-            # As many values as there are years.
-            years = [r["year"] for r in newer.select("year").distinct().collect()]
-            observed = observed.where(F.col("year").isin(years))
-        rebuilt = daily_ops.daily_summary(observed).withColumn("year", F.year("date"))
-        tables.overwrite_partitions(rebuilt, path, GOLD_DAILY_FOLDER)
+        rows = daily_ops.new_daily_rows(fresh, read_daily(spark, base))
+        tables.append_table(rows.withColumn("year", F.year("date")), path, GOLD_DAILY_FOLDER)
     else:
-        raise ValueError(f"late must be 'skip' or 'recompute', not {late!r}")
+        _rebuild_days(spark, base, observed, fresh)
     schemas.recover_partitions(spark, schemas.GOLD_DAILY)
+    if until is not None:
+        for name in {late, "skip", *(["recompute"] if first_run else [])}:
+            mark = spark.createDataFrame([(until,)], PROGRESS)
+            tables.overwrite_table(mark, progress_path(base, name))
+
+
+def _rebuild_days(spark: SparkSession, base: str, observed: DataFrame, fresh: DataFrame) -> None:
+    days = fresh.select("coast_name", F.to_date("datetime").alias("date"), "year").distinct()
+    touched = stored(days, "touched-days")
+    # As many values as there are years and coasts: they name the folders to read.
+    years = [r["year"] for r in touched.select("year").distinct().collect()]
+    coasts = [r["coast_name"] for r in touched.select("coast_name").distinct().collect()]
+    day = touched.select(F.col("coast_name").alias("_coast"), F.col("date").alias("_day"))
+    again = observed.where(F.col("year").isin(years) & F.col("coast_name").isin(coasts))
+    again = again.join(day, (F.col("coast_name") == F.col("_coast")) & (F.to_date("datetime") == F.col("_day")), "left_semi")
+    kept = read_daily(spark, base).where(F.col("year").isin(years)).join(
+        day, (F.col("coast_name") == F.col("_coast")) & (F.col("date") == F.col("_day")), "left_anti")
+    rebuilt = daily_ops.daily_summary(again).withColumn("year", F.year("date"))
+    # Written first: a folder cannot be replaced by what is read from it.
+    rows = stored(kept.select(*rebuilt.columns).unionByName(rebuilt), "rebuilt-days")
+    tables.overwrite_partitions(rows, schemas.GOLD_DAILY.path(base), GOLD_DAILY_FOLDER)
 
 
 def monthly_share(spark: SparkSession, base: str) -> None:
@@ -151,6 +182,15 @@ def mapped(column: str, mapping: dict[int, int]):
     return chosen
 
 
+def training_source(observed: DataFrame, coast: str | None = None, fraction: float = 1.0, ids: Sequence[str] = ("id",)) -> DataFrame:
+    """Every third year, of one coast if named; ``fraction`` of each coast's months."""
+    years = quality.every_n_years(observed, fv.TRAIN_EVERY_N_YEARS)
+    if coast is not None:
+        years = years.where(F.col("coast_name") == coast)
+    strata = [F.col("coast_name"), F.date_format("datetime", "yyyyMM")]
+    return sampling.stratified_sample(years, strata, fraction, list(ids), fv.TRAIN_SEED)
+
+
 def train(spark: SparkSession, base: str, model_path: str, fraction: float = 1.0, coast: str | None = None,
           force: bool = False, **options) -> seastate.TrainingResult:
     """Train on every third year and save the model if both gates are passed, or by ``force``.
@@ -158,12 +198,8 @@ def train(spark: SparkSession, base: str, model_path: str, fraction: float = 1.0
     ``coast`` limits training to one coast. Year and coast are folder columns, so
     other folders are not read. ``fraction`` bounds the labelled rows for fitting.
     """
-    years = quality.every_n_years(silver(spark, base), fv.TRAIN_EVERY_N_YEARS)
-    if coast is not None:
-        years = years.where(F.col("coast_name") == coast)
-    strata = [F.col("coast_name"), F.date_format("datetime", "yyyyMM")]
-    kept = sampling.stratified_sample(years, strata, fraction, ["id"], fv.TRAIN_SEED)
-    frame = cut_lineage(seastate.training_frame(kept, extra=["id"]))
+    kept = training_source(silver(spark, base), coast, fraction)
+    frame = cut_lineage(spread(seastate.training_frame(kept, extra=["id"])))
     result = train_rows(frame, ["id"], enforce_gates=not force, **options)
     if result.accepted or force:
         seastate.save_model(result.model, model_path)

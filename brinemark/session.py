@@ -97,3 +97,9 @@ def cut_lineage(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """``df`` over at least as many partitions as there are cores; for narrow rows that are gone over many times."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

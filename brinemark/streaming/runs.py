@@ -1,7 +1,7 @@
 """Stream sources, sinks and the incremental stages.
 
-Every stage is stateless and append-only, reads what is available and stops. The
-file sink's commit log makes each stage exactly-once; downstream streams read
+Every stage is append-only, reads what is available and stops; only the optional removal
+of lines that are delivered again and the daily windows keep state. The file sink's commit log makes each stage exactly-once; downstream streams read
 that log, so they never see files of an unfinished batch.
 """
 
@@ -11,13 +11,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from brinemark.operators import parse, quality, seastate
+from brinemark.operators import daily, parse, quality, seastate
 from brinemark.sources import schemas
 
 
-def read_lines_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """New text files of a folder, one row per line."""
-    reader = spark.readStream
+def read_lines_stream(spark: SparkSession, folder: str, max_files: int | None = None, whole: bool = False) -> DataFrame:
+    """New text files of a folder, one row per line, or per file if ``whole``."""
+    reader = spark.readStream.option("wholetext", str(whole).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(folder)
@@ -71,9 +71,28 @@ def checkpoint_path(base: str, table: schemas.Table) -> str:
     return f"{base.rstrip('/')}/checkpoints/{table.layer}_{table.name}"
 
 
-def ingest(spark: SparkSession, landing: str, base: str, max_files: int | None = None) -> None:
-    """Landing text files to the table of lines; ``max_files`` bounds a batch."""
-    run_stream(read_lines_stream(spark, landing, max_files), with_provenance, schemas.BRONZE_LINES, base)
+def ingest(spark: SparkSession, landing: str, base: str, max_files: int | None = None, once: str | None = None) -> None:
+    """Landing text files to the table of lines; ``max_files`` bounds a batch.
+
+    ``once`` (a duration) drops lines of a file that is delivered again within that time:
+    lines of the same file name, place and wording. Equal lines of one file stay apart.
+    It reads files whole and remembers 16 bytes a line for that long.
+    """
+    if once is None:
+        run_stream(read_lines_stream(spark, landing, max_files), with_provenance, schemas.BRONZE_LINES, base)
+    else:
+        files = read_lines_stream(spark, landing, max_files, whole=True)
+        run_stream(files, lambda df: first_delivery(df, once), schemas.BRONZE_LINES, base)
+
+
+def first_delivery(files: DataFrame, within: str) -> DataFrame:
+    """Lines of whole files, without those delivered before (no longer than ``within`` ago)."""
+    rows = files.select(
+        F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("_at", "data"),
+        F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingestion_timestamp"))
+    key = F.unhex(F.md5(F.concat_ws("\n", "source_file", F.col("_at").cast("string"), "data")))
+    kept = rows.withColumn("_key", key).withWatermark("ingestion_timestamp", within).dropDuplicatesWithinWatermark(["_key"])
+    return kept.select("data", "source_file", "ingestion_timestamp", F.expr("uuid()").alias("line_id"))
 
 
 def silver_rows(lines: DataFrame, rules=quality.RULES, reference_trim: bool = False) -> DataFrame:
@@ -111,3 +130,20 @@ def classify(spark: SparkSession, base: str, model, max_files: int | None = None
     """Observations to sea states with a trained model."""
     metrics = read_table_stream(spark, schemas.SILVER_METRICS.path(base), schemas.SILVER_METRICS.schema, max_files)
     run_stream(metrics, lambda df: classified_rows(df, model), schemas.SILVER_CLASSES, base)
+
+
+def daily_windows(metrics: DataFrame, delay: str) -> DataFrame:
+    """Daily extremes of a stream; a day appears once when event time has passed its end by ``delay``."""
+    days = daily.daily_summary(metrics.withWatermark("datetime", delay), windowed=True)
+    return days.withColumn("year", F.year("date"))
+
+
+def stream_daily(spark: SparkSession, base: str, delay: str = "2 days", max_files: int | None = None) -> None:
+    """Observations to daily extremes by event-time windows.
+
+    Each coast and day is written once and never again; rows that come more than
+    ``delay`` behind the newest observation seen are dropped, so this suits feeds that
+    arrive in order. State holds one row per coast and open day.
+    """
+    metrics = read_table_stream(spark, schemas.SILVER_METRICS.path(base), schemas.SILVER_METRICS.schema, max_files)
+    run_stream(metrics, lambda df: daily_windows(df, delay), schemas.GOLD_DAILY_STREAM, base)

@@ -50,8 +50,10 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing lines with their file: ``data`` and ``source_file``.
+def raw_lines(spark: SparkSession, sf_dir: str, version: int = 1, late: bool | None = None) -> DataFrame:
+    """Landing lines with their file (its ``version`` is in the name): ``data`` and ``source_file``.
+
+    ``late`` takes only the lines that arrive late, a fifth by supplier, or only the others.
 
     The remainder of the order key by 50 decides how a line is broken.
     """
@@ -78,5 +80,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(whole_line)
     )
     file_name = F.when(kind == 6, F.lit("acapulco")).otherwise(F.initcap(stem))
-    return table(spark, sf_dir, "lineitem").select(
-        line.alias("data"), F.concat(F.lit("/landing/swell/"), file_name, F.lit(".v1.txt")).alias("source_file"))
+    rows = table(spark, sf_dir, "lineitem")
+    if late is not None:
+        rows = rows.where((F.col("l_suppkey") % 5 == 0) == F.lit(late))
+    return rows.select(
+        line.alias("data"), F.concat(F.lit("/landing/swell/"), file_name, F.lit(f".v{version}.txt")).alias("source_file"))

@@ -685,6 +685,26 @@ ORACLE["stream_daily"] = f"""
 WITH {DAILY.replace('FROM obs', f'FROM obs WHERE {_GOOD_KINDS}')} SELECT * FROM daily"""
 
 ORACLE["stream_daily_recompute"] = ORACLE["stream_daily"]
+_ON_TIME, _LATE = (DAILY.replace("FROM obs", f"FROM obs WHERE {_GOOD_KINDS} AND l_suppkey % 5 {op} 0").replace("l_orderkey,\n", "l_orderkey, l_suppkey,\n")
+                   for op in ("<>", "="))
+ORACLE["stream_daily_late_skip"] = f"""
+WITH on_time AS (WITH {_ON_TIME} SELECT * FROM daily), late AS (WITH {_LATE} SELECT * FROM daily)
+SELECT * FROM on_time UNION ALL SELECT * FROM late ANTI JOIN on_time USING (date, coast_name)"""
+
+ORACLE["stream_daily_windows"] = f"""
+WITH {DAILY.replace('FROM obs', f'FROM obs WHERE {_GOOD_KINDS}')}
+SELECT * FROM daily WHERE date + INTERVAL 3 DAY <= (SELECT max(datetime) FROM obs WHERE {_GOOD_KINDS})"""
+ORACLE["ingest_once"] = f"""
+WITH {SERIES} SELECT CASE WHEN l_orderkey % 50 = 6 THEN 'acapulco' ELSE {_STEM_CASE} END || '.v1.txt' AS file,
+  count(*) AS n, count(*) AS ids FROM src GROUP BY 1"""
+
+ORACLE["declared_tables"] = f"""
+WITH {SERIES} SELECT coast_name, year(l_shipdate)::INTEGER AS year, count(*) AS n, max(round(h, 4)::FLOAT) AS highest
+FROM src WHERE {_GOOD_KINDS} GROUP BY 1, 2"""
+ORACLE["explore_tables"] = f"""
+WITH {SERIES}
+SELECT 'wind ' || month(datetime) AS item, round(avg(wind_speed_ms::DOUBLE), 4) AS mean, round(stddev_samp(wind_speed_ms::DOUBLE), 4) AS std
+FROM obs GROUP BY 1 UNION ALL SELECT 'sample', 0.0::DOUBLE, 0.0::DOUBLE"""
 
 ORACLE["observations_file"] = f"""
 WITH {SERIES}
@@ -716,3 +736,39 @@ SELECT id, min(year) AS year_min, max(year) AS year_max, count(*) AS n_records,
   (SELECT round(max_hs, 2) FROM annual a WHERE a.coast_name = ids.coast_name ORDER BY year LIMIT 1) AS first_max,
   min(year) AS first_year, count(*) FILTER (year = 1996 AND month = 3) AS n_1996_03
 FROM days JOIN ids USING (coast_name) GROUP BY id, ids.coast_name"""
+
+
+ORACLE["monthly_share_job"] = ORACLE["sea_state_share"]
+ORACLE["payload_files"] = ORACLE["coast_payload_kpis"].replace("SELECT id, min", "SELECT ids.coast_name AS id, min")
+
+_NAMES = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(fv.SEA_STATES, start=1))
+ORACLE["sea_state_names"] = f"""
+WITH l AS (SELECT CASE WHEN l_linenumber > 1 THEN l_linenumber + CASE WHEN l_returnflag = 'R' THEN 3 ELSE 0 END END AS label FROM lineitem)
+SELECT label, CASE label {_NAMES} ELSE '{fv.UNKNOWN_SEA_STATE}' END AS sea_state, count(*) AS n FROM l GROUP BY 1, 2"""
+ORACLE["cluster_order"] = f"""
+WITH {SERIES},
+m AS (
+  SELECT (l_suppkey % 6)::INTEGER AS cluster, avg(round(0.125 * (9.81::DOUBLE * 1026) * h * h, 4)::FLOAT::DOUBLE) AS e,
+    avg(round(490 * h * h * t / 1000, 4)::FLOAT::DOUBLE) AS p FROM src GROUP BY 1)
+SELECT cluster, row_number() OVER (ORDER BY e, p, cluster)::INTEGER AS label, round(e, 3) AS mean_wave_energy FROM m"""
+_CALM = SERIES + """,
+frame AS (SELECT * FROM obs),
+b AS (SELECT quantile_cont(wave_energy::DOUBLE, 0.95) AS qe, quantile_cont(wave_power_kW_m::DOUBLE, 0.95) AS qp FROM frame)"""
+ORACLE["feature_scaler"] = f"WITH {_CALM}" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}::DOUBLE), 4) AS mean, round(stddev_samp({c}::DOUBLE), 4) AS std "
+    "FROM frame, b WHERE NOT (wave_energy >= qe AND wave_power_kW_m >= qp)" for c in fv.MODEL_FEATURES)
+ORACLE["labelled_rows"] = f"""
+WITH {_CALM}
+SELECT coast_name, count(*) AS n, count(*) FILTER (wave_energy >= qe AND wave_power_kW_m >= qp) AS extreme,
+  count(*) FILTER (NOT (wave_energy >= qe AND wave_power_kW_m >= qp)) AS calm, 0::BIGINT AS unlabelled
+FROM frame, b GROUP BY coast_name"""
+ORACLE["training_coast"] = f"""
+WITH {SERIES} SELECT coast_name, year, count(*) AS n FROM obs
+WHERE coast_name = '{fv.COASTS["tuxpan"]}' AND year % {fv.TRAIN_EVERY_N_YEARS} = 0 GROUP BY 1, 2"""
+ORACLE["drop_nulls"] = """
+SELECT l_returnflag, count(*) AS n, sum(l_linenumber)::BIGINT AS total FROM lineitem
+WHERE l_linenumber <> 3 AND l_suppkey % 7 <> 0 GROUP BY 1"""
+ORACLE["percent_scale"] = """
+WITH v AS (SELECT l_returnflag, (CASE WHEN l_returnflag = 'A' THEN l_discount ELSE l_quantity END)::DOUBLE AS value FROM lineitem),
+s AS (SELECT l_returnflag, round(CASE WHEN max(value) OVER (PARTITION BY l_returnflag) <= 1.5 THEN value * 100 ELSE value END, 1) AS value FROM v)
+SELECT l_returnflag, value, count(*) AS n FROM s GROUP BY 1, 2"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from brinemark.functions import text, waves
 from brinemark.operators import climate, daily, describe, extremes, forecast, metrics, parse, payload, quality
 from brinemark.operators import quantiles, sampling, seastate, share
 from brinemark.plans import jobs
-from brinemark.session import cut_lineage, work_folder
+from brinemark.session import cut_lineage, spread, work_folder
 from brinemark.sources import schemas, tables
 from brinemark.streaming import runs
 from brinemark.workload.mapping import observed, raw_lines, table
@@ -530,7 +531,7 @@ def trained(spark, sf) -> seastate.TrainingResult:
 
     The forest is fitted on at most ``FIT_ROWS`` labelled rows; all others are scored.
     """
-    frame = cut_lineage(seastate.training_frame(observed(spark, sf), extra=ROW_ID))
+    frame = cut_lineage(spread(seastate.training_frame(observed(spark, sf), extra=ROW_ID)))
     return jobs.train_rows(frame, ROW_ID, enforce_gates=False, fit_rows=FIT_ROWS)
 
 
@@ -539,10 +540,71 @@ def train_forest_metrics(spark, sf):
     return trained(spark, sf).metrics
 
 
+@query
+def sea_state_names(spark, sf):
+    """Names of labels, known and unknown."""
+    label = F.when(F.col("l_linenumber") > 1, F.col("l_linenumber") + F.when(F.col("l_returnflag") == "R", 3).otherwise(0))
+    named = table(spark, sf, "lineitem").select(label.alias("label"), text.sea_state_name(label).alias("sea_state"))
+    return named.groupBy("label", "sea_state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def cluster_order(spark, sf):
+    """Clusters (here suppliers modulo 6) ranked by mean energy, then power."""
+    rows = observed(spark, sf).withColumn("cluster", (F.col("l_suppkey") % 6).cast("int"))
+    ranked = seastate.order_clusters(rows.where("coast_name IS NOT NULL"))
+    return rounded(ranked.select("cluster", "label", "mean_wave_energy"), 3)
+
+
+@query
+def feature_scaler(spark, sf):
+    """Mean and deviation of the features over calm rows."""
+    frame = seastate.training_frame(observed(spark, sf))
+    extreme = seastate.extreme_mask(seastate.extreme_thresholds(frame))
+    calm = frame.where(~extreme)
+    return rounded(seastate.scaler_table(spark, seastate.fit_scaler(calm)), 4)
+
+
+@query
+def labelled_rows(spark, sf):
+    """Extreme and calm rows in one frame: the last label is that of the extreme ones, the others are ordered clusters."""
+    frame = cut_lineage(spread(seastate.training_frame(observed(spark, sf), extra=ROW_ID)))
+    extreme = seastate.extreme_mask(seastate.extreme_thresholds(frame))
+    mixture = seastate.fit_mixture(frame.where(~extreme))
+    order = {r["cluster"]: r["label"] for r in seastate.order_clusters(seastate.apply_mixture(mixture, frame.where(~extreme))).collect()}
+    labelled = seastate.label_rows(frame, mixture, order, extreme)
+    return labelled.groupBy("coast_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 7).alias("extreme"),
+        F.count_if(F.col("label").between(1, 6)).alias("calm"), F.count_if(F.col("label").isNull()).alias("unlabelled"))
+
+
+@query
+def training_coast(spark, sf):
+    """Rows that training on one coast takes, by year."""
+    rows = jobs.training_source(observed(spark, sf), coast=fv.COASTS["tuxpan"], ids=ROW_ID)
+    return rows.groupBy("coast_name", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def drop_nulls(spark, sf):
+    """Lines with both of two columns that have gaps."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_returnflag", F.nullif("l_linenumber", F.lit(3)).alias("a"), F.nullif(F.col("l_suppkey") % 7, F.lit(0)).alias("b"), F.lit(None).cast("int").alias("c"))
+    return quality.drop_nulls(rows, ["a", "b"]).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("a").alias("total"))
+
+
+@query
+def percent_scale(spark, sf):
+    """Fractions of one group become percentages, values of the others stay."""
+    value = F.when(F.col("l_returnflag") == "A", F.col("l_discount")).otherwise(F.col("l_quantity")).cast("double")
+    rows = table(spark, sf, "lineitem").select("l_returnflag", value.alias("value"))
+    return climate.to_percent_scale(rows, "value", "l_returnflag").groupBy("l_returnflag", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def gmm_gate(spark, sf):
     """Fitted on calm training rows, gated on calm rows that were held out."""
-    frame = cut_lineage(seastate.training_frame(observed(spark, sf), extra=ROW_ID))
+    frame = cut_lineage(spread(seastate.training_frame(observed(spark, sf), extra=ROW_ID)))
     train, test = sampling.split(frame, fv.TEST_SHARE, ROW_ID, fv.TRAIN_SEED)
     extreme = seastate.extreme_mask(seastate.extreme_thresholds(train))
     mixture = seastate.fit_mixture(train.where(~extreme))
@@ -552,17 +614,17 @@ def gmm_gate(spark, sf):
 # --- streams and documents -----------------------------------------------------
 
 
-def landed(spark, sf) -> str:
+def landed(spark, sf, base=None, version=1, late=None) -> str:
     """Raw lines written as landing text, one file per file name."""
-    base = work_folder(spark, "stream")
-    lines = raw_lines(spark, sf).select(
+    base = base or work_folder(spark, "stream")
+    lines = raw_lines(spark, sf, version, late).select(
         F.regexp_extract("source_file", r"([^/]+)$", 1).alias("file"), F.col("data").alias("value"))
-    lines.repartition("file").write.partitionBy("file").text(f"{base}/written")
+    lines.repartition("file").write.partitionBy("file").text(f"{base}/written{version}")
     # The file name tells the coast, and a writer cannot choose it.
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(f"{base}/landing"))
-    for folder in files.listStatus(path(f"{base}/written")):
+    for folder in files.listStatus(path(f"{base}/written{version}")):
         name = folder.getPath().getName()
         if name.startswith("file="):
             for part in files.listStatus(folder.getPath()):
@@ -613,13 +675,103 @@ def stream_daily(spark, sf):
     return jobs.read_daily(spark, base).drop("year")
 
 
+def daily_with_late_rows(spark, sf, late: str) -> DataFrame:
+    """A first landing summarised, then the late lines landed and summarised by ``late``."""
+    base = None
+    for version, is_late in ((1, False), (2, True)):
+        base = landed(spark, sf, base, version, is_late)
+        jobs.ingest(spark, f"{base}/landing", base)
+        jobs.refine(spark, base)
+        jobs.daily(spark, base, late)
+    return jobs.read_daily(spark, base).drop("year")
+
+
+@query
+def stream_daily_late_skip(spark, sf):
+    """Late rows give new days only; summarised days stay as they were."""
+    return daily_with_late_rows(spark, sf, "skip")
+
+
 @query
 def stream_daily_recompute(spark, sf):
-    """Every year rebuilt over a first run, folder by folder."""
+    """Late rows rebuild the days that they touch, as if all had come at once."""
+    return daily_with_late_rows(spark, sf, "recompute")
+
+
+@query
+def stream_daily_windows(spark, sf):
+    """Days closed by event time: all but those within two days of the newest observation."""
     base = streamed(spark, sf)
-    jobs.daily(spark, base)
-    jobs.daily(spark, base, late="recompute")
-    return jobs.read_daily(spark, base).drop("year")
+    runs.stream_daily(spark, base)
+    path = schemas.GOLD_DAILY_STREAM.path(base)
+    return tables.read_table(spark, path, schemas.GOLD_DAILY_STREAM.schema).drop("year")
+
+
+@query
+def ingest_once(spark, sf):
+    """Lines by file after every file has been delivered twice."""
+    base = landed(spark, sf)
+    jobs.ingest(spark, f"{base}/landing", base, once="7 days")
+    touch(spark, f"{base}/landing")
+    jobs.ingest(spark, f"{base}/landing", base, once="7 days")
+    lines = tables.read_table(spark, schemas.BRONZE_LINES.path(base), schemas.BRONZE_LINES.schema)
+    name = F.regexp_extract("source_file", r"([^/]+)$", 1).alias("file")
+    return lines.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("line_id").alias("ids"))
+
+
+def touch(spark, folder: str) -> None:
+    """Make the files of a folder look delivered again."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in files.listStatus(root):
+        files.setTimes(f.getPath(), f.getModificationTime() + 60_000, -1)
+
+
+@query
+def declared_tables(spark, sf):
+    """Observations read through their declared table, by name."""
+    base, database = landed(spark, sf), "declared_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {database}")
+    schemas.create_tables(spark, base, database)
+    jobs.ingest(spark, f"{base}/landing", base)
+    jobs.refine(spark, base)
+    schemas.recover_partitions(spark, schemas.SILVER_METRICS, database)
+    name = f"{database}.{schemas.SILVER_METRICS.layer}_{schemas.SILVER_METRICS.name}"
+    return spark.table(name).groupBy("coast_name", "year").agg(F.count(F.lit(1)).alias("n"), F.max("wave_height_m").alias("highest"))
+
+
+@query
+def monthly_share_job(spark, sf):
+    """Classes written as a table and shared out by the job, twice: the second run replaces the first."""
+    base = work_folder(spark, "classes")
+    classes = classified_by_power(spark, sf).select(
+        F.concat_ws("-", *ROW_ID).alias("id"), "coast_name", F.col("datetime").cast("timestamp").alias("datetime"), "year",
+        "wave_classification", F.current_timestamp().alias("classification_timestamp"))
+    tables.append_table(classes, schemas.SILVER_CLASSES.path(base), schemas.SILVER_CLASSES.partition_by)
+    for _ in range(2):
+        jobs.monthly_share(spark, base)
+    return tables.read_table(spark, schemas.GOLD_MONTHLY.path(base), schemas.GOLD_MONTHLY.schema)
+
+
+@query
+def payload_files(spark, sf):
+    """Figures out of documents that were written as files."""
+    path = work_folder(spark, "payload")
+    shares = share.sea_state_share(classified_by_power(spark, sf))
+    tables.write_payload(payload.coast_payload(observed_daily(spark, sf), shares), path)
+    return document_figures(spark.read.text(path).select(F.get_json_object("value", "$.name").alias("id"), F.col("value").alias("json")))
+
+
+@query
+def explore_tables(spark, sf):
+    """Wind by month and the correlation out of the exploring job."""
+    rows = observed(spark, sf).withColumn("month", F.month("datetime"))
+    found = jobs.explore(
+        rows, month="month", wind="wind_speed_ms", wind_dir="wind_direction_deg", height="wave_height_m",
+        wave_dir="wave_direction_deg", period="wave_period_s", ids=ROW_ID)
+    wind = found["wind_by_month"].select(F.concat(F.lit("wind "), "month").alias("item"), "mean", "std")
+    kept = found["scatter_sample"].agg(F.lit("sample").alias("item"), F.avg(F.lit(0.0)).alias("mean"), F.lit(0.0).alias("std"))
+    return rounded(wind.unionByName(kept), 4)
 
 
 @query
@@ -676,7 +828,10 @@ def coast_payload(spark, sf):
 def coast_payload_kpis(spark, sf):
     """Figures read back out of the documents."""
     shares = share.sea_state_share(classified_by_power(spark, sf))
-    docs = payload.coast_payload(observed_daily(spark, sf), shares)
+    return document_figures(payload.coast_payload(observed_daily(spark, sf), shares))
+
+
+def document_figures(docs: DataFrame) -> DataFrame:
     return docs.select(
         "id",
         F.get_json_object("json", "$.year_min").cast("int").alias("year_min"),

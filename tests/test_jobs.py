@@ -1,6 +1,7 @@
 """The jobs end to end on landing files."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,41 @@ def test_recompute_since_touches_only_those_years(spark, tmp_path):
     assert len(got) == 2 and got["1981-01-01"] == 8.5
 
 
+def test_progress_is_kept_and_only_touched_days_are_rebuilt(spark, tmp_path):
+    landing, where = tmp_path / "landing", str(tmp_path)
+    write_lines(landing, "tuxpan.txt", hour_lines(1980, 1, [1]) + hour_lines(1981, 1, [1, 2]))
+    jobs.ingest(spark, str(landing), where)
+    jobs.refine(spark, where)
+    assert jobs.read_progress(spark, where, "recompute") is None
+    jobs.daily(spark, where, "recompute")
+    first = jobs.read_progress(spark, where, "recompute")
+    files = lambda year: {p: p.stat().st_mtime_ns for p in (tmp_path / "gold" / "wave_daily_summary" / f"year={year}").glob("*.parquet")}
+    old = files(1980), files(1981)
+    jobs.daily(spark, where, "recompute")  # nothing new: nothing is written
+    assert (files(1980), files(1981)) == old and jobs.read_progress(spark, where, "recompute") == first
+    write_lines(landing, "tuxpan.b.txt", ["1 1 5 5 90 8.5 180 8 0 0 0 1981"])
+    jobs.ingest(spark, str(landing), where)
+    jobs.refine(spark, where)
+    jobs.daily(spark, where, "recompute")
+    assert files(1980) == old[0] and files(1981) != old[1]
+    assert jobs.read_progress(spark, where, "recompute") > first
+    got = {str(r["date"]): r["max_wave_height_m"] for r in jobs.read_daily(spark, where).collect()}
+    assert len(got) == 3 and got["1981-01-01"] == 8.5
+
+
+def test_equal_lines_of_a_file_stay_apart_when_it_is_delivered_again(spark, tmp_path):
+    landing, where = tmp_path / "landing", str(tmp_path)
+    write_lines(landing, "tuxpan.txt", ["same line", "same line", "other"])
+    for step in range(2):
+        jobs.ingest(spark, str(landing), where, once="1 day")
+        os.utime(landing / "tuxpan.txt", (2_000_000_000 + step, 2_000_000_000 + step))
+    write_lines(landing, "tuxpan.txt", ["same line", "same line", "other", "new"])
+    jobs.ingest(spark, str(landing), where, once="1 day")
+    lines = tables.read_table(spark, schemas.BRONZE_LINES.path(where))
+    assert sorted(r["data"] for r in lines.collect()) == ["new", "other", "same line", "same line"]
+    assert lines.select("line_id").distinct().count() == 4
+
+
 def test_third_years_prune_folders(spark, base):
     kept = quality.every_n_years(jobs.silver(spark, str(base)), 3)
     plan = kept._jdf.queryExecution().executedPlan().toString()
@@ -134,8 +170,12 @@ def test_train_classify_share_payload(spark, big_base, tmp_path):
     assert classes.count() == jobs.silver(spark, where).count()
     jobs.daily(spark, where)
     jobs.monthly_share(spark, where)
-    failures = jobs.forecast(spark, where, resamples=30)
-    assert failures.count() == 0
+    failures = {r["coast_name"]: r["error"] for r in jobs.forecast(spark, where, resamples=30).collect()}
+    levels = tables.read_table(spark, schemas.GOLD_FORECAST.path(where), schemas.GOLD_FORECAST.schema)
+    fitted = {r["coast_name"] for r in levels.collect()}
+    # A coast has levels or a reason; the peaks of one have no likelihood maximum at this scale.
+    assert not fitted & set(failures) and len(fitted) + len(failures) == 7 and len(failures) <= 1
+    assert set(failures.values()) <= {"no maximum of the likelihood above shape -1"}
     jobs.payload(spark, where, f"{tmp_path}/out")
     docs = [json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/out/coasts").collect()]
     assert len(docs) == 7 and all(d["has_data"] for d in docs)
