@@ -101,26 +101,28 @@ def recombine(monthly: DataFrame, first: int, last: int, by: str | None = "month
         weight = F.when(F.col(name).isNotNull(), F.col("n"))
         return F.try_divide(F.sum(F.col(name) * weight), F.sum(weight)).alias(name)
 
-    keys = ["coast_name", "month"] if by == "month" else ["coast_name"]
-    window = year_range(monthly, first, last).groupBy(*keys)
-    combined = window.agg(*[weighted(m) for m in means], F.max("max_hs").alias("max_hs"))
     if by != "month":
-        return combined
-    coasts = monthly.select("coast_name").distinct()
-    grid = coasts.select("coast_name", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
-    return grid.join(combined, ["coast_name", "month"], "left")
+        window = year_range(monthly, first, last).groupBy("coast_name")
+        return window.agg(*[weighted(m) for m in means], F.max("max_hs").alias("max_hs"))
+    # Years outside the window carry no values, but name their coast: one read of the rows.
+    inside = F.col("year").between(min(first, last), max(first, last))
+    values = [*means, "max_hs"]
+    held = monthly.select("coast_name", "month", "n", *[F.when(inside, F.col(c)).alias(c) for c in values])
+    months = held.groupBy("coast_name", "month").agg(*[weighted(m) for m in means], F.max("max_hs").alias("max_hs"))
+    # At most twelve entries a coast.
+    packed = months.groupBy("coast_name").agg(F.map_from_entries(F.collect_list(F.struct("month", F.struct(*values)))).alias("_m"))
+    every = packed.select("coast_name", "_m", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    return every.select("coast_name", "month", F.try_element_at("_m", F.col("month")).alias("_v")).select("coast_name", "month", "_v.*")
 
 
 def label_top_n(annual: DataFrame, n: int = 5, key: str = "coast_name", value: str = "max_hs") -> DataFrame:
     """Flag values at or above the key's ``n``-th largest (its smallest if fewer).
 
-    Ranks are limited to ``n`` before the shuffle, so only ``n`` rows per key and
-    task are moved to find the bar.
+    One window over the key's values, which are one a year, gives the bar beside each.
     """
-    order = W.partitionBy(key).orderBy(F.col(value).desc())
-    top = annual.where(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n)
-    bar = top.groupBy(key).agg(F.min(value).alias("_bar"))
-    flagged = annual.join(bar, key, "left")
+    order = W.partitionBy(key).orderBy(F.col(value).desc_nulls_last()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    bar = F.coalesce(F.nth_value(value, n).over(order), F.min(value).over(order))
+    flagged = annual.withColumn("_bar", bar)
     return flagged.withColumn("labelled", F.coalesce(F.col(value) >= F.col("_bar"), F.lit(False))).drop("_bar")
 
 
