@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, Observation, functions as F, Window as W
 
 from brinemark.session import stored
 
@@ -41,17 +41,20 @@ def exact_quantiles(
     aggregates to compute in the same first scan. The result, one row per group, is
     computed at once and kept in the shared folder. Equal rows give equal bits
     however they are split over files. Without keys an empty input gives one row.
+    NULL and NaN values have no rank and are left out.
     """
     keys, quantiles = list(keys), dict(quantiles)
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    rows = df.withColumn("_k", group).withColumn("_v", F.col(value).cast("double"))
+    rows = df.withColumn("_k", group).withColumn("_v", F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
+    missed = F.lit(False)
+    for name in quantiles:
+        missed = missed | F.col(name).isNull()
     while True:
         steer = stored(_sketch(rows, keys, quantiles, extra, margin), "quantile-cuts")
-        found = stored(_selected(rows, steer, quantiles), "quantiles")
-        missed = F.lit(False)
-        for name in quantiles:
-            missed = missed | F.col(name).isNull()
-        if margin >= 1 or found.where(missed).isEmpty():
+        # Counted while the result is written, not by a job of its own.
+        seen = Observation()
+        found = stored(_selected(rows, steer, quantiles).observe(seen, F.count_if(missed).alias("missed")), "quantiles")
+        if margin >= 1 or not seen.get["missed"]:
             break
         margin *= WIDEN
     # Groups without any value keep their row, with NULL quantiles.

@@ -106,3 +106,10 @@ def test_running_count(spark):
     expected = pdf.assign(r=pdf.groupby("k")["v"].rank(method="min").astype(int) - 1).drop_duplicates(["k", "v"])
     want = {(r.k, r.v): r.r for r in expected.itertuples()}
     assert {(r["k"], r["v"]): r["n_before"] for r in got} == want
+
+
+def test_nan_values_have_no_rank(spark):
+    rows = [("a", float(v)) for v in range(11)] + [("a", float("nan"))] * 50 + [("b", float("nan")), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["median"] for r in quantiles.group_median(df, ["k"], "v").collect()}
+    assert got == {"a": 5.0, "b": None}
