@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brinemark.llm.columns import stored
+from brinemark.session import clear_work, work_mark
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -27,9 +28,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     links = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     links = links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     links = links.distinct()
-    before = None
+    before, mark = None, work_mark()
     while True:
         links = stored(links, "components")
+        clear_work(links.sparkSession, mark, [links])  # the round before
         now = _mark(links)
         if now == before or now[0] == 0:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

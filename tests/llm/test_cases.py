@@ -288,3 +288,24 @@ def test_pipeline_stages(spark, sf_dir):
     assert simhash.near_duplicates(docs).where("doc_id <> component_id").count() == 0
     leaks = decontaminate.summary(decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
     assert leaks.where("contaminated").count() == 0
+
+
+def test_one_long_run_of_a_role_reads_back_in_linear_time(spark):
+    import time
+    turns = spark.range(20_000).selectExpr("1L AS conv_id", "id AS turn", "'user' AS role", "concat(repeat('long text ', 20), id, ' </s>') AS text")
+    start = time.perf_counter()
+    row = chat_format.digests(chat_format.format_chats(turns)).first()
+    assert row["n_turns"] == 20_000 and time.perf_counter() - start < 60
+
+
+def test_fingerprints_of_text_ids_and_of_many_rows_of_one_id(spark):
+    rows = [(f"d{k:03d}", f"line {k}\nanother {k % 7}") for k in range(60)] + [("hot", f"text {k}\nmore of {k}") for k in range(80)] + [(None, f"none {k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(5)
+    got = fingerprints.fingerprint_edits(docs).collect()
+    assert len(got) == len(rows) and sum(r["doc_id"] is None for r in got) == 40 and sum(r["doc_id"] == "hot" for r in got) == 80
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] and r["doc_id"] != "hot"}
+    import hashlib
+    for k in range(59):
+        text, after = rows[k][1], rows[k + 1][1]
+        half = len(text) // 2
+        assert by_id[rows[k][0]]["edited_sha256"] == hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()
