@@ -17,10 +17,10 @@ from brinemark.sources import schemas
 
 def read_lines_stream(spark: SparkSession, folder: str, max_files: int | None = None, whole: bool = False) -> DataFrame:
     """New text files of a folder, one row per line, or per file if ``whole``."""
-    reader = spark.readStream.option("wholetext", str(whole).lower())
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(folder)
+    return reader.text(folder, wholetext=whole)
 
 
 def with_provenance(lines: DataFrame) -> DataFrame:
@@ -74,9 +74,10 @@ def checkpoint_path(base: str, table: schemas.Table) -> str:
 def ingest(spark: SparkSession, landing: str, base: str, max_files: int | None = None, once: str | None = None) -> None:
     """Landing text files to the table of lines; ``max_files`` bounds a batch.
 
-    ``once`` (a duration) drops lines of a file that is delivered again within that time:
-    lines of the same file name, place and wording. Equal lines of one file stay apart.
-    It reads files whole and remembers 16 bytes a line for that long.
+    ``once`` (a duration) drops lines that are delivered again within that time in a file
+    of another version: lines of the same file name up to its first dot, the same place
+    and wording. Equal lines of one file stay apart. It reads files whole and remembers
+    16 bytes a line for that long.
     """
     if once is None:
         run_stream(read_lines_stream(spark, landing, max_files), with_provenance, schemas.BRONZE_LINES, base)
@@ -90,7 +91,8 @@ def first_delivery(files: DataFrame, within: str) -> DataFrame:
     rows = files.select(
         F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("_at", "data"),
         F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingestion_timestamp"))
-    key = F.unhex(F.md5(F.concat_ws("\n", "source_file", F.col("_at").cast("string"), "data")))
+    stem = F.regexp_extract("source_file", r"([^/.]+)[^/]*$", 1)
+    key = F.unhex(F.md5(F.concat_ws("\n", stem, F.col("_at").cast("string"), "data")))
     kept = rows.withColumn("_key", key).withWatermark("ingestion_timestamp", within).dropDuplicatesWithinWatermark(["_key"])
     return kept.select("data", "source_file", "ingestion_timestamp", F.expr("uuid()").alias("line_id"))
 

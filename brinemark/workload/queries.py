@@ -614,12 +614,14 @@ def gmm_gate(spark, sf):
 # --- streams and documents -----------------------------------------------------
 
 
-def landed(spark, sf, base=None, version=1, late=None) -> str:
+def landed(spark, sf, base=None, version=1, late=None, ordered=False) -> str:
     """Raw lines written as landing text, one file per file name."""
     base = base or work_folder(spark, "stream")
     lines = raw_lines(spark, sf, version, late).select(
         F.regexp_extract("source_file", r"([^/]+)$", 1).alias("file"), F.col("data").alias("value"))
-    lines.repartition("file").write.partitionBy("file").text(f"{base}/written{version}")
+    lines = lines.repartition("file")
+    lines = lines.sortWithinPartitions("file", "value") if ordered else lines
+    lines.write.partitionBy("file").text(f"{base}/written{version}")
     # The file name tells the coast, and a writer cannot choose it.
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -709,24 +711,16 @@ def stream_daily_windows(spark, sf):
 
 @query
 def ingest_once(spark, sf):
-    """Lines by file after every file has been delivered twice."""
-    base = landed(spark, sf)
-    jobs.ingest(spark, f"{base}/landing", base, once="7 days")
-    touch(spark, f"{base}/landing")
-    jobs.ingest(spark, f"{base}/landing", base, once="7 days")
+    """Lines by file after every file has been delivered again as another version."""
+    base = None
+    for version in (1, 2):
+        base = landed(spark, sf, base, version, ordered=True)
+        jobs.ingest(spark, f"{base}/landing", base, once="7 days")
     lines = tables.read_table(spark, schemas.BRONZE_LINES.path(base), schemas.BRONZE_LINES.schema)
     name = F.regexp_extract("source_file", r"([^/]+)$", 1).alias("file")
     return lines.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("line_id").alias("ids"))
 
 
-def touch(spark, folder: str) -> None:
-    """Make the files of a folder look delivered again."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for f in files.listStatus(root):
-        files.setTimes(f.getPath(), f.getModificationTime() + 60_000, -1)
-
-
 @query
 def declared_tables(spark, sf):
     """Observations read through their declared table, by name."""

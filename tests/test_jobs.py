@@ -1,7 +1,6 @@
 """The jobs end to end on landing files."""
 
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,15 +128,15 @@ def test_progress_is_kept_and_only_touched_days_are_rebuilt(spark, tmp_path):
 
 def test_equal_lines_of_a_file_stay_apart_when_it_is_delivered_again(spark, tmp_path):
     landing, where = tmp_path / "landing", str(tmp_path)
-    write_lines(landing, "tuxpan.txt", ["same line", "same line", "other"])
-    for step in range(2):
+    for version in (1, 2):
+        write_lines(landing, f"tuxpan.v{version}.txt", ["same line", "same line", "other"])
         jobs.ingest(spark, str(landing), where, once="1 day")
-        os.utime(landing / "tuxpan.txt", (2_000_000_000 + step, 2_000_000_000 + step))
-    write_lines(landing, "tuxpan.txt", ["same line", "same line", "other", "new"])
+    write_lines(landing, "tuxpan.v3.txt", ["same line", "same line", "other", "new"])
+    write_lines(landing, "acapulco.v1.txt", ["other"])
     jobs.ingest(spark, str(landing), where, once="1 day")
     lines = tables.read_table(spark, schemas.BRONZE_LINES.path(where))
-    assert sorted(r["data"] for r in lines.collect()) == ["new", "other", "same line", "same line"]
-    assert lines.select("line_id").distinct().count() == 4
+    assert sorted(r["data"] for r in lines.collect()) == ["new", "other", "other", "same line", "same line"]
+    assert lines.select("line_id").distinct().count() == 5
 
 
 def test_third_years_prune_folders(spark, base):
