@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from brinemark.functions import text, waves
 from brinemark.operators.quality import year_range
+from brinemark.session import stored
 
 
 @dataclass(frozen=True)
@@ -137,11 +138,13 @@ def seastate_climatology(share: DataFrame, key: str = "coast_name", month: str =
 def to_percent_scale(df: DataFrame, value: str, over: str) -> DataFrame:
     """Values as percentages at one decimal.
 
-    A key whose largest value is at most 1.5 holds fractions and is scaled by 100.
+    A key whose largest value is at most 1.5 holds fractions and is scaled by 100. The
+    largest values are aggregated and joined, so that no task holds the rows of a key.
     """
-    top = F.max(value).over(W.partitionBy(over))
-    scaled = F.when(F.coalesce(top, F.lit(0.0)) <= 1.5, F.col(value) * 100).otherwise(F.col(value))
-    return df.withColumn(value, F.round(scaled, 1))
+    top = stored(df.groupBy(F.col(over).alias("_over")).agg(F.max(value).alias("_top")), "largest-values")
+    scaled = F.when(F.coalesce(F.col("_top"), F.lit(0.0)) <= 1.5, F.col(value) * 100).otherwise(F.col(value))
+    joined = df.join(top, F.col(over).eqNullSafe(F.col("_over")), "left")
+    return joined.withColumn(value, F.round(scaled, 1)).select(*df.columns)
 
 
 def seastate_matrix(climatology: DataFrame, domain: list[str], key: str = "coast_name", month: str = "month",

@@ -80,6 +80,15 @@ def test_fractions_are_scaled(spark):
     assert got == {("a", "A"): 25.0, ("a", "B"): 75.0, ("b", "A"): 40.0, ("b", "B"): None}
 
 
+def test_scaling_keeps_no_group_in_one_task(spark):
+    df = spark.createDataFrame(
+        [("a", 0.25), ("a", 1.5), ("b", 1.6), ("b", None), (None, 0.5), (None, None), ("c", None)], "k string, v double")
+    scaled = climate.to_percent_scale(df, "v", "k")
+    assert scaled.columns == ["k", "v"] and "Window" not in scaled._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, scaled.collect())) == sorted(map(str, spark.createDataFrame(
+        [("a", 25.0), ("a", 150.0), ("b", 1.6), ("b", None), (None, 50.0), (None, None), ("c", None)], "k string, v double").collect()))
+
+
 def test_dimension_keeps_coasts_without_data(spark):
     facts = spark.createDataFrame([("Tuxpan", 1)], "coast_name string, x int")
     got = {r["id"]: r["has_data"] for r in payload.with_dimension(facts, payload.coast_dimension(spark)).collect()}
