@@ -1,6 +1,7 @@
 """The jobs end to end on landing files."""
 
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,35 @@ def test_equal_lines_of_a_file_stay_apart_when_it_is_delivered_again(spark, tmp_
     assert lines.select("line_id").distinct().count() == 5
 
 
+def test_places_run_on_over_splits_and_state_is_kept_on_disk(spark, tmp_path):
+    landing, where = tmp_path / "landing", str(tmp_path)
+    lines = [f"line {i % 7}" for i in range(3000)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        write_lines(landing, "tuxpan.v1.txt", lines)
+        write_lines(landing, "carmen.v1.txt", ["windows\r", "", "lines\r"])
+        runs.number_lines(spark, str(landing), f"{where}/numbered", f"{where}/numbered-checkpoint")
+        numbered = spark.read.parquet(f"{where}/numbered").withColumn("file", F.regexp_extract("source_file", r"([^/]+)$", 1))
+        rows = sorted((r["place"], r["data"]) for r in numbered.where("file = 'tuxpan.v1.txt'").collect())
+        assert rows == list(enumerate(lines))
+        rows = sorted((r["place"], r["data"]) for r in numbered.where("file = 'carmen.v1.txt'").collect())
+        assert rows == [(0, "windows"), (1, ""), (2, "lines")]
+        jobs.ingest(spark, str(landing), where, once="1 day")
+        # Another length of an early line moves all bytes after it, but no line.
+        write_lines(landing, "tuxpan.v2.txt", ["a longer first line", *lines[1:], "added"])
+        jobs.ingest(spark, str(landing), where, once="1 day")
+        jobs.ingest(spark, str(landing), where, once="1 day")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    table = tables.read_table(spark, schemas.BRONZE_LINES.path(where))
+    assert table.count() == 3005
+    assert sorted(r["data"] for r in table.where("source_file like '%.v2.txt'").collect()) == ["a longer first line", "added"]
+    offsets = pathlib.Path(runs.checkpoint_path(where, schemas.BRONZE_LINES)) / "offsets" / "0"
+    assert "RocksDBStateStoreProvider" in offsets.read_text()
+    assert not [f for f in (tmp_path / "numbered_lines").rglob("*.parquet")]
+
+
 def test_third_years_prune_folders(spark, base):
     kept = quality.every_n_years(jobs.silver(spark, str(base)), 3)
     plan = kept._jdf.queryExecution().executedPlan().toString()
