@@ -274,6 +274,36 @@ def test_blocks_of_a_large_band_agree(spark):
     assert whole == sorted(map(str, line_dedup.line_components(lines, 0.8, block=10).collect())) and whole
 
 
+def test_pairs_compared_at_once_agree_with_one_by_one():
+    random.seed(3)
+    text = lambda n: "".join(random.choice("abcde ") for _ in range(n))
+    pairs = [("ab", "ab"), ("a", "b"), ("x" * 500, "x" * 9), ("12345678", "1234567")]
+    for n in (9, 30, 200):
+        for _ in range(60):
+            base = text(n)
+            pairs.append((base, base[:-1 - random.randrange(n // 4 + 1)] + text(random.randrange(3))))
+    near = line_dedup.alike(pairs, 0.8).tolist()
+    assert near == [bool(line_dedup.forest_of([line_dedup.grams_of(x) for x in pair], 0.8)) for pair in pairs]
+    for pair, yes in zip(pairs, near):
+        x, y = ({line_dedup.padded(t)[k:k + 8] for k in range(max(len(t), 8) - 7)} for t in pair)
+        assert yes == (len(x & y) >= 0.8 * len(x | y))
+
+
+def test_bands_are_counted_by_band_and_number_alone(spark, monkeypatch):
+    tables, stored = {}, line_dedup.stored
+
+    def noted(df, label):
+        tables[label] = df
+        return stored(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", noted)
+    base = "the quick brown fox jumps over the lazy dog and runs away from the very large bear"
+    docs = spark.createDataFrame([(1, base, None), (2, base.replace("bear", "boar"), None), (3, "nothing like them", None)], SCHEMA)
+    assert {r["doc_id"]: r["n_lost"] for r in line_dedup.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0}
+    assert tables["line-shared"].columns == ["band", "n"]
+    assert "norm" not in tables["line-places"].columns
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
