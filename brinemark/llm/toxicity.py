@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -113,24 +114,25 @@ class Model:
 def _bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every text as rows and their shares, one after the other, and where each starts."""
     cache: dict[str, np.ndarray] = {}
-    starts, indexes, shares = [0], [], []
+    # Grown in place: joining an array a text at the end would hold all of them twice.
+    starts, indexes, shares = [0], array("i"), array("f")
     for text in texts:
         words = Counter(words_of(text))
         parts = []
         for word in words:
             part = cache.get(word)
             if part is None:
-                part = subwords(word)
+                part = subwords(word).astype(np.int32)
                 if len(word) <= LONG_WORD:
                     cache[word] = part
             parts.append(part)
-        rows = np.concatenate([np.zeros(0, dtype=np.int64), *parts])
+        rows = np.concatenate([np.zeros(0, dtype=np.int32), *parts])
         times = np.repeat(np.fromiter(words.values(), dtype=np.float64, count=len(words)), [len(x) for x in parts])
         distinct, place = np.unique(rows, return_inverse=True)
-        indexes.append(distinct.astype(np.int32))
-        shares.append((np.bincount(place, times, len(distinct)) / (times.sum() + EMPTY)).astype(np.float32))
+        indexes.frombytes(distinct.tobytes())
+        shares.frombytes((np.bincount(place, times, len(distinct)) / (times.sum() + EMPTY)).astype(np.float32).tobytes())
         starts.append(starts[-1] + len(distinct))
-    return np.array(starts), np.concatenate(indexes), np.concatenate(shares)
+    return np.array(starts), np.frombuffer(indexes, dtype=np.int32), np.frombuffer(shares, dtype=np.float32)
 
 
 def train(texts: list[str | None], labels: list[int], steps: int = STEPS, rate: float = RATE, seed: int = SEED) -> Model:
@@ -144,14 +146,19 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, rate:
         share = (ones + 1) / (len(y) + 2)
         return Model(np.zeros(ROWS), float(np.log(share / (1 - share))))
     starts, index, share = _bags(texts)
-    seen = np.bincount(index, minlength=ROWS)
+    seen = np.zeros(ROWS, dtype=np.int64)
+    for at in range(0, len(index), 1 << 20):
+        seen += np.bincount(index[at:at + (1 << 20)], minlength=ROWS)
     known = seen >= min(LEAST_TEXTS, len(texts) // 20)
     generator = np.random.default_rng(seed)
     vectors = generator.normal(0, 0.01, (WIDTH, ROWS)).astype(np.float32)
     vectors[:, ~known] = 0
     used = known[index]
-    starts = np.concatenate(([0], np.cumsum(used)))[starts]
-    index, share = index[used], share[used] * np.float32(SCALE)
+    kept = [np.count_nonzero(used[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+    starts = np.concatenate(([0], np.cumsum(kept)))
+    index = index[used]
+    share = share[used]
+    share *= np.float32(SCALE)
     softmax, bias = generator.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
     weigh = np.where(y == 1, len(y) / (2 * ones), len(y) / (2 * (len(y) - ones))).astype(np.float32)
     batches, done = -(-len(y) // BATCH), 0
