@@ -339,3 +339,18 @@ def test_fingerprints_of_text_ids_and_of_many_rows_of_one_id(spark):
         text, after = rows[k][1], rows[k + 1][1]
         half = len(text) // 2
         assert by_id[rows[k][0]]["edited_sha256"] == hashlib.sha256((text[:len(text) - half] + after[:half]).encode()).hexdigest()
+
+
+def test_toxicity_training_holds_its_rows_once():
+    import tracemalloc
+
+    draw = random.Random(3)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(400)]
+    texts = [" ".join(draw.choices(vocabulary, k=600)) for _ in range(200)]
+    tracemalloc.start()
+    try:
+        starts, index, share = toxicity._bags(texts)
+        bags, most = index.nbytes + share.nbytes, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert starts[-1] == len(index) == len(share) and most < 1.8 * bags
