@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brinemark.llm import (
@@ -304,6 +305,71 @@ def test_bands_are_counted_by_band_and_number_alone(spark, monkeypatch):
     assert "norm" not in tables["line-places"].columns
 
 
+def test_line_dedup_runs_no_python(spark):
+    docs = spark.createDataFrame([(1, "a line of text\nand another", None)], SCHEMA)
+    lines = line_dedup.lines_of(docs, "doc_id", "text")
+    pairs = lines.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    for df in (line_dedup.band_rows(lines), line_dedup.near_pairs(pairs, lines, 0.8), line_dedup.line_components(lines, 0.8)):
+        plan = df._jdf.queryExecution().toString()
+        assert "InPandas" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("common", [8, 24, 136, 536])
+def test_bands_taken_in_sql_hold_lines_at_the_threshold(spark, common):
+    random.seed(9)
+    text = lambda n: "".join(chr(random.randrange(0x4E00, 0x9E00)) for _ in range(n))
+    lines = []
+    for k in range(2000):
+        base = text(common + 7)
+        lines += [(2 * k, base + text(common // 8)), (2 * k + 1, base + text(common // 8))]
+    bands = line_dedup.band_rows(spark.createDataFrame(lines, "id long, norm string"))
+    met = bands.groupBy("band", F.floor(F.col("id") / 2).alias("pair")).agg(F.count_distinct("id").alias("n")).where("n = 2")
+    assert met.select("pair").distinct().count() > 0.99 * 2000
+
+
+def test_pairs_compared_in_sql_agree_with_sets(spark):
+    random.seed(3)
+    text = lambda n: "".join(random.choice("abcde \U0001F600") for _ in range(n))
+    pairs = [("ab", "ab"), ("a", "b"), ("x" * 500, "x" * 9), ("12345678", "1234567")]
+    for n in (9, 30, 200):
+        for _ in range(40):
+            base = text(n)
+            pairs.append((base, base[:-1 - random.randrange(n // 4 + 1)] + text(random.randrange(3))))
+    texts = spark.createDataFrame([(2 * k + j, 0, t) for k, p in enumerate(pairs) for j, t in enumerate(p)], "id long, id2 long, norm string")
+    ids = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(pairs))], "a long, b long")
+    near = {r["a"]["id"] // 2 for r in line_dedup.near_pairs(ids, texts, 0.8).collect()}
+    for k, pair in enumerate(pairs):
+        x, y = ({line_dedup.padded(t)[j:j + 8] for j in range(max(len(t), 8) - 7)} for t in pair)
+        assert (k in near) == (len(x & y) >= 0.8 * len(x | y))
+
+
+@pytest.mark.parametrize("large", [3, 50])
+def test_groups_of_a_band_are_connected_as_by_all_pairs(spark, monkeypatch, large):
+    monkeypatch.setattr(line_dedup, "LARGE", large)
+    random.seed(6)
+    words = lambda n: [f"{random.randrange(10 ** 6)}" for _ in range(n)]
+    shared, texts = "the very same words stand at the beginning of every single line of them all", []
+    for _ in range(8):
+        base = words(12)
+        for _ in range(8):
+            line = list(base)
+            line[random.randrange(12)] = "1"
+            texts.append(f"{shared} {' '.join(line)}")
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], SCHEMA)
+    lines = line_dedup.lines_of(docs, "doc_id", "text")
+    # Bands of one minimum bring lines of all groups together.
+    got = line_dedup.line_components(lines, 0.8, rows=1, bands=12, block=10)
+    group = {r["norm"]: (r["id"], r["id2"]) for r in lines.collect()}
+    root = {tuple(r["node"]): tuple(r["root"]) for r in got.collect()}
+    links = line_dedup.forest_of([line_dedup.grams_of(t) for t in texts], 0.8)
+    of = list(range(len(texts)))
+    for a, b in links:
+        of = [of[a] if x == of[b] else x for x in of]
+    label = [root.get(group[t], group[t]) for t in texts]
+    assert len(set(of)) > 1
+    assert len(set(zip(of, label))) == len(set(of)) == len(set(label))
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = docs.columns
