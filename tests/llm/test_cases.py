@@ -420,3 +420,17 @@ def test_toxicity_training_holds_its_rows_once():
     finally:
         tracemalloc.stop()
     assert starts[-1] == len(index) == len(share) and most < 1.8 * bags
+
+
+def test_fingerprint_places_are_found_in_two_steps(spark):
+    edge = lambda x: F.struct(F.lit(x is None).alias("none"), F.lit(x).cast("long").alias("doc_id"))
+    keys = spark.range(-3, 203).select("id").union(spark.sql("SELECT CAST(NULL AS long) AS id"))
+    keys = keys.select("id", F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("doc_id")).alias("key"))
+    for n in (0, 1, 2, 3, 8, 9, 10, 99):
+        edges = [*range(0, 2 * n, 2)]
+        got = {r["id"]: r["place"] for r in keys.select("id", fingerprints._place(F.col("key"), [edge(x) for x in edges]).alias("place")).collect()}
+        assert got == {x: n if x is None else sum(e <= x for e in edges) for x in got}
+    # No row is compared with all edges: none of the lists that are gone through has over ten of them.
+    plan = keys.select(fingerprints._place(F.col("key"), [edge(x) for x in range(99)]))._jdf.queryExecution().analyzed().toString()
+    first = plan.split("filter(array(", 1)[1].split("lambdafunction", 1)[0]
+    assert first.count("struct(") <= 10
