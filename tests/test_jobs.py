@@ -304,3 +304,13 @@ def test_explore(spark, tmp_path):
     assert found["wind_by_month"].count() == 12 and found["correlation"].count() == 4
     assert 150 < found["scatter_sample"].count() < 420
     assert found["wind_rose"].count() == 32 * 12 and found["wave_rose"].count() == 32 * 11
+
+
+def test_file_stem_is_that_of_the_pattern_without_one(spark):
+    paths = ["file:///a.b/c/Tuxpan.v1.txt", "/x/tuxpan", "tuxpan.v2.txt", "/x/.hidden.txt", "/x/..", "/x/a..b", "/x/", "", "/x y/ñ%20.z", "a/b.c/d\n.e", None]
+    df = spark.createDataFrame([(p,) for p in paths], "source_file string")
+    got = df.select(runs.file_stem("source_file").alias("stem"), F.regexp_extract("source_file", r"([^/.]+)[^/]*$", 1).alias("wanted"))
+    assert [r["stem"] for r in got.collect()] == [r["wanted"] for r in got.collect()]
+    lines = spark.readStream.format("rate").load().selectExpr("'a' AS data", "'/x/a.txt' AS source_file", "value AS place")
+    plan = runs.first_delivery(lines, "1 day")._jdf.queryExecution().analyzed().toString()
+    assert "regexp" not in plan
