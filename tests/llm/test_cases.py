@@ -434,3 +434,23 @@ def test_fingerprint_places_are_found_in_two_steps(spark):
     plan = keys.select(fingerprints._place(F.col("key"), [edge(x) for x in range(99)]))._jdf.queryExecution().analyzed().toString()
     first = plan.split("filter(array(", 1)[1].split("lambdafunction", 1)[0]
     assert first.count("struct(") <= 10
+
+
+def test_slots_leave_out_only_pairs_that_are_not_alike(spark):
+    draw, lines = random.Random(3), []
+    for k in range(400):
+        line = "".join(draw.choice("abcdefgh é漢") for _ in range(draw.choice([3, 8, 60, 300, 2000])))
+        line = line * 3 if k % 7 == 0 else line  # few distinct shingles for its length
+        cut = draw.randrange(len(line) + 1)
+        other = line[:cut] + "".join(draw.choice("xyz") for _ in range(draw.choice([0, 1, 3, 20, 150]))) + line[cut:]
+        lines += [line, other]
+    texts = spark.createDataFrame([(k, k, x) for k, x in enumerate(lines)], "id long, id2 long, norm string")
+    marked = line_dedup.marked_texts(texts).localCheckpoint()
+    assert marked.count() == len(lines)
+    pairs = spark.range(0, len(lines), 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = [sorted(map(str, line_dedup.near_pairs(pairs, t, 0.8).collect())) for t in (texts, marked)]
+    assert found[0] == found[1] and 50 < len(found[0]) < 350
+    sides = [marked.select(F.col("id").alias(f"{x}_id"), F.col("norm").alias(f"{x}_norm"), F.col("bits").alias(f"{x}_bits")) for x in "ab"]
+    left = sides[0].join(sides[1], F.expr("a_id % 2 = 0 AND b_id = a_id + 1")).where(line_dedup._may_be_near(0.8)).count()
+    # Most of those that are not alike need no comparison.
+    assert left - len(found[0]) < (len(lines) // 2 - len(found[0])) / 2
